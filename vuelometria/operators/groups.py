@@ -33,7 +33,10 @@ def correlation_pairs(df: DataFrame, variables: dict[str, str], digits: int = 6)
     pairs = list(combinations(variables, 2))
     row = df.agg(*[F.corr(variables[x], variables[y]).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"), round_n(f"r{i}", digits).alias("r"))
+        F.struct(
+            F.lit(i + 1).alias("orden"), F.lit(x).alias("var_x"), F.lit(y).alias("var_y"),
+            round_n(f"r{i}", digits).alias("r"),
+        )
         for i, (x, y) in enumerate(pairs)
     ]
     return row.select(F.inline(F.array(*cells)))
