@@ -6,13 +6,47 @@ every status, class and NULL path occurs. The whole tables are bound, row for ro
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import daily, facts, marts, staging
 
+# Columns the binding uses. Given schemas save the reader a look into the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_discount double, "
+    "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+FACTS = ("fct_vuelos", "fct_incidentes", "fct_clima_diario")
+
+
+class _Lazy(Mapping):
+    """Frames that are built when they are asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = builders
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
 
 def _mod(column: str, n: int) -> Column:
     return F.col(column) % n
@@ -25,7 +59,7 @@ class BoundTables:
         self.spark, self.folder = spark, folder
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # feeds
 
@@ -248,12 +282,14 @@ class BoundTables:
         )
 
     @property
-    def facts(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in ("fct_vuelos", "fct_incidentes", "fct_clima_diario")}
+    def facts(self) -> Mapping[str, DataFrame]:
+        return _Lazy({name: partial(getattr, self, name) for name in FACTS})
 
     @property
-    def dims(self) -> dict[str, DataFrame]:
-        return {
-            "dim_fecha": self.dim_fecha,
-            "dim_aeropuerto": facts.airport_city(self.dim_aeropuerto, self.airport_cities),
-        }
+    def dims(self) -> Mapping[str, DataFrame]:
+        return _Lazy(
+            {
+                "dim_fecha": lambda: self.dim_fecha,
+                "dim_aeropuerto": lambda: facts.airport_city(self.dim_aeropuerto, self.airport_cities),
+            }
+        )

@@ -14,8 +14,8 @@ def _distinct(column: str, approx: bool) -> Column:
     return F.approx_count_distinct(column) if approx else F.count_distinct(F.col(column))
 
 
-def int_flights_daily(stg_flights: DataFrame, approx: bool = False) -> DataFrame:
-    """One row per date. ``approx`` trades the three exact distinct counts for sketches."""
+def flight_volumes(stg_flights: DataFrame) -> DataFrame:
+    """The additive part of the daily flight table: one pass, one hash aggregation."""
     status, severity = F.col("flight_status"), F.col("severidad_retraso")
     late, done = count_where(F.col("tiene_retraso")), count_where(status == "completado")
     total = F.count(F.lit(1))
@@ -34,13 +34,29 @@ def int_flights_daily(stg_flights: DataFrame, approx: bool = False) -> DataFrame
         count_where(severity == "moderado").alias("retrasos_moderados"),
         count_where(severity == "severo").alias("retrasos_severos"),
         count_where(severity == "critico").alias("retrasos_criticos"),
+        pct(done, total).alias("pct_vuelos_completados"),
+    )
+
+
+def flight_diversity(stg_flights: DataFrame, approx: bool = False) -> DataFrame:
+    """Distinct airlines, origins and destinations per date; ``approx`` uses sketches."""
+    return stg_flights.groupBy("flight_date").agg(
         _distinct("airline_iata", approx).alias("num_aerolineas"),
         _distinct("departure_iata", approx).alias("num_aeropuertos_origen"),
         _distinct("arrival_iata", approx).alias("num_aeropuertos_destino"),
-        pct(done, total).alias("pct_vuelos_completados"),
     )
 
 
+def int_flights_daily(stg_flights: DataFrame, approx: bool = False) -> DataFrame:
+    """One row per date.
+
+    Spark repeats every row once per distinct count, along with the input of all other
+    aggregates in the same ``agg``. Kept apart, only the three narrow code columns are
+    repeated; both halves end up partitioned by date, so joining them needs no shuffle.
+    """
+    return flight_volumes(stg_flights).join(flight_diversity(stg_flights, approx), "flight_date")
+
+
 def weather_daily_from_rollup(rollup: DataFrame) -> DataFrame:
     """Second step over (date, city, country, condition) rows; here the text maximum is cheap."""
     return rollup.groupBy("weather_date", "city", "country").agg(

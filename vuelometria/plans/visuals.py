@@ -39,20 +39,36 @@ CORRELATED = {
 }
 
 
-def filter_context(facts: Tables, dims: Tables, where: Mapping[str, Column] | None = None) -> dict[str, DataFrame]:
-    """All tables under the slicer predicates; a predicate on ``dim_fecha`` also restricts the facts."""
-    where = where or {}
-    tables = {name: df.where(where[name]) if name in where else df for name, df in {**facts, **dims}.items()}
-    if "dim_fecha" in where:
-        dates = tables["dim_fecha"].select("fecha")
-        for name in facts:
-            tables[name] = tables[name].join(dates, "fecha", "left_semi")
-    return tables
+class FilteredTables(Mapping):
+    """All tables under the slicer predicates; a predicate on ``dim_fecha`` also restricts the facts.
+
+    A table is only looked up when a visual asks for it.
+    """
+
+    def __init__(self, facts: Tables, dims: Tables, where: Mapping[str, Column] | None = None):
+        self._facts, self._dims, self._where = facts, dims, where or {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._facts[name] if name in self._facts else self._dims[name]
+        if name in self._where:
+            df = df.where(self._where[name])
+        if name in self._facts and "dim_fecha" in self._where:
+            df = df.join(self["dim_fecha"].select("fecha"), "fecha", "left_semi")
+        return df
+
+    def __iter__(self):
+        return iter([*self._facts, *self._dims])
+
+    def __len__(self) -> int:
+        return len(self._facts) + len(self._dims)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._facts or name in self._dims
 
 
 def _visual(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     def run(facts: Tables, dims: Tables, where: Mapping[str, Column] | None = None, **options) -> DataFrame:
-        return query(filter_context(facts, dims, where), **options)
+        return query(FilteredTables(facts, dims, where), **options)
 
     run.__name__, run.__doc__ = query.__name__, query.__doc__
     VISUALS[query.__name__] = run

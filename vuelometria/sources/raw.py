@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .schemas import RAW
 
-#: A pull is named <feed>_YYYY-MM-DD_HH-MM-SS.json.
-PULL_DATE = r"_(\d{4}-\d{2}-\d{2})_[^/]*$"
+#: A pull is a file, or a directory with its files, named <feed>_YYYY-MM-DD_HH-MM-SS.
+PULL_DATE = r"_(\d{4}-\d{2}-\d{2})_\d{2}-\d{2}-\d{2}[^/]*(?:/[^/]*)?$"
 
 
 def raw_options(mode: str = "FAILFAST") -> dict[str, str]:
@@ -104,7 +104,7 @@ def flatten_delays(raw: DataFrame, as_of: date | str | None = None, ts: datetime
     The name keeps a re-run from stamping old incidents with a new date.
     """
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    pulled = F.regexp_extract(F.col("_metadata.file_name"), PULL_DATE, 1).try_cast("date")
+    pulled = F.regexp_extract(F.col("_metadata.file_path"), PULL_DATE, 1).try_cast("date")
     flat = raw.select(
         _int("userId").alias("user_id"),
         _int("id").alias("incident_id"),
