@@ -12,6 +12,7 @@ from ..operators.shape import preview
 from ..plans.binding import BoundTables
 from ..session import scratch_dir
 from ..sources import raw, tables
+from ..sources.schemas import PARTITION
 from ..streaming.ingest import FeedError, FeedPaths, feed_counts, ingest_incremental, run_feeds
 from .feeds import land_feed
 from .registry import register
@@ -61,7 +62,7 @@ def _a3(t: BoundTables) -> DataFrame:
 register(
     "a3_json_delays",
     _a3,
-    """select incident_title as title, is_resolved::varchar as completed, count(*) as n from delays group by 1, 2""",
+    """select incident_title as title, is_resolved as completed, count(*) as n from delays group by 1, 2""",
 )
 
 
@@ -241,7 +242,7 @@ def _etl(t: BoundTables, feed: str) -> DataFrame:
     landed = _landed(t, feed)
     flat = raw.flatten(feed, raw.read_raw(t.spark, feed, landed), ts=STAMP)
     path = scratch_dir(t.spark, feed)
-    tables.write_partitioned(flat, path, {"flights": "flight_date", "weather": "weather_date"}.get(feed, "report_date"))
+    tables.write_partitioned(flat, path, PARTITION[feed], balance=False)
     return tables.read_processed(t.spark, path, feed).drop("ingested_at")
 
 

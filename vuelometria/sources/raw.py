@@ -7,35 +7,54 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import RAW
+from .schemas import CORRUPT, RAW
 
 #: A pull is a file, or a directory with its files, named <feed>_YYYY-MM-DD_HH-MM-SS.
 PULL_DATE = r"_(\d{4}-\d{2}-\d{2})_\d{2}-\d{2}-\d{2}[^/]*(?:/[^/]*)?$"
 
 
-def raw_options(mode: str = "FAILFAST") -> dict[str, str]:
-    """Reader options. A document that is not JSON fails the feed instead of turning into NULL rows."""
-    return {"multiLine": "true", "mode": mode}
+RAW_OPTIONS = {
+    "multiLine": "true",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "recursiveFileLookup": "true",
+}
 
 
-def read_raw(spark: SparkSession, feed: str, path: str, mode: str = "FAILFAST") -> DataFrame:
-    reader = spark.read.schema(RAW[feed]).options(**raw_options(mode)).option("recursiveFileLookup", "true")
-    return reader.json(path)
+def intact(feed: str, documents: DataFrame, broken: str = "fail") -> DataFrame:
+    """Documents of which nothing could be read fail the feed, or are left out with ``broken="skip"``.
 
+    A single value of the wrong kind is no reason to fail: it is NULL already.
+    """
+    fields = [c for c in documents.columns if c != CORRUPT]
+    unreadable = F.col(CORRUPT).isNotNull()
+    for field in fields:
+        unreadable = unreadable & F.col(field).isNull()
+    if broken == "fail":
+        text = F.concat(F.lit(f"{feed}: not a JSON document: "), F.substring(CORRUPT, 1, 200))
+        keep = F.when(unreadable, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    else:
+        keep = ~unreadable
+    return documents.where(keep)
+
+
+def read_raw(spark: SparkSession, feed: str, path: str, broken: str = "fail") -> DataFrame:
+    return intact(feed, spark.read.schema(RAW[feed]).options(**RAW_OPTIONS).json(path), broken)
 
-def read_flights_raw(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+
+def read_flights_raw(spark: SparkSession, path: str, broken: str = "fail") -> DataFrame:
     """One row per document; its records sit in the array ``data``."""
-    return read_raw(spark, "flights", path, mode)
+    return read_raw(spark, "flights", path, broken)
 
 
-def read_weather_raw(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+def read_weather_raw(spark: SparkSession, path: str, broken: str = "fail") -> DataFrame:
     """One row per measurement; a file holds one object or an array of objects."""
-    return read_raw(spark, "weather", path, mode)
+    return read_raw(spark, "weather", path, broken)
 
 
-def read_delays_raw(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+def read_delays_raw(spark: SparkSession, path: str, broken: str = "fail") -> DataFrame:
     """One row per element of the top-level array of each file."""
-    return read_raw(spark, "delays", path, mode)
+    return read_raw(spark, "delays", path, broken)
 
 
 def explode_data(df: DataFrame) -> DataFrame:
@@ -50,11 +69,7 @@ def with_ingested_at(df: DataFrame, ts: datetime | str | None = None) -> DataFra
 
 
 def _int(path: str) -> Column:
-    return F.col(path).try_cast("double").try_cast("int")
-
-
-def _double(path: str) -> Column:
-    return F.col(path).try_cast("double")
+    return F.col(path).try_cast("int")
 
 
 def flatten_flights(raw: DataFrame, ts: datetime | str | None = None) -> DataFrame:
@@ -88,9 +103,9 @@ def flatten_weather(raw: DataFrame, ts: datetime | str | None = None) -> DataFra
     }
     flat = raw.select(
         *[F.col(source).alias(name) for name, source in texts.items()],
-        _double("location.lat").alias("latitude"),
-        _double("location.lon").alias("longitude"),
-        *[_double(f"current.{source}").alias(name) for name, source in numbers.items()],
+        F.col("location.lat").alias("latitude"),
+        F.col("location.lon").alias("longitude"),
+        *[F.col(f"current.{source}").alias(name) for name, source in numbers.items()],
         *[_int(f"current.{source}").alias(name) for name, source in whole_numbers.items()],
         # the hour may have one digit, so only the date part is looked at
         F.col("location.localtime").try_cast("date").alias("weather_date"),
@@ -109,7 +124,7 @@ def flatten_delays(raw: DataFrame, as_of: date | str | None = None, ts: datetime
         _int("userId").alias("user_id"),
         _int("id").alias("incident_id"),
         F.col("title").alias("incident_title"),
-        F.col("completed").try_cast("boolean").alias("is_resolved"),
+        F.col("completed").alias("is_resolved"),
         F.coalesce(pulled, today).alias("report_date"),
     )
     return with_ingested_at(flat, ts)

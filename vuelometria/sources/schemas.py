@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-# Leaf values of the raw feeds are read as text and cast with try_cast afterwards, so a number
-# written as "12", 12 or 12.0 arrives the same and a bad value becomes NULL instead of an error.
+CORRUPT = "_corrupt_record"
+
+# Numbers are read as double, whichever way a pull writes them, and cast afterwards. A value of
+# the wrong kind becomes NULL and its record is kept; CORRUPT then holds the text of the document.
 RAW = {
-    "flights": """
+    "flights": f"""
         data array<struct<
             flight_date string, flight_status string,
-            departure struct<airport string, iata string, scheduled string, delay string>,
-            arrival struct<airport string, iata string, scheduled string, delay string>,
+            departure struct<airport string, iata string, scheduled string, delay double>,
+            arrival struct<airport string, iata string, scheduled string, delay double>,
             airline struct<name string, iata string>,
-            flight struct<number string>>>""",
-    "weather": """
-        location struct<name string, region string, country string, lat string, lon string, localtime string>,
-        current struct<temp_c string, temp_f string, humidity string, wind_kph string, wind_dir string,
-            pressure_mb string, precip_mm string, cloud string, vis_km string,
-            condition struct<text string>, chance_of_rain string>""",
-    "delays": "userId string, id string, title string, completed string",
+            flight struct<number string>>>,
+        {CORRUPT} string""",
+    "weather": f"""
+        location struct<name string, region string, country string, lat double, lon double, localtime string>,
+        current struct<temp_c double, temp_f double, humidity double, wind_kph double, wind_dir string,
+            pressure_mb double, precip_mm double, cloud double, vis_km double,
+            condition struct<text string>, chance_of_rain double>,
+        {CORRUPT} string""",
+    "delays": f"userId double, id double, title string, completed boolean, {CORRUPT} string",
 }
 
 #: Partition column of every processed table.

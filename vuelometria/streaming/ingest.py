@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.raw import flatten, raw_options
+from ..sources.raw import RAW_OPTIONS, flatten, intact
 from ..sources.schemas import PARTITION, RAW
 
 FEEDS = ("flights", "weather", "delays")
@@ -56,10 +56,11 @@ def start_feed(
     died is repeated without double rows. The plan is narrow (scan, explode, project): no
     shuffle, the hot date of a daily feed is written by as many tasks as read it.
     """
-    reader = spark.readStream.schema(RAW[feed]).options(**raw_options()).option("recursiveFileLookup", "true")
+    reader = spark.readStream.schema(RAW[feed]).options(**RAW_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    rows = flatten(feed, reader.json(paths.raw), as_of, ts).observe("feed", F.count(F.lit(1)).alias("rows"))
+    documents = intact(feed, reader.json(paths.raw))
+    rows = flatten(feed, documents, as_of, ts).observe("feed", F.count(F.lit(1)).alias("rows"))
     return (
         rows.writeStream.format("parquet")
         .option("path", paths.processed)
