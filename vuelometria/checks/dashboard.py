@@ -6,6 +6,7 @@ from functools import partial
 
 from ..functions.numeric import round_n
 from ..plans.measures import evaluate, measure, measure_names
+from ..plans.payloads import visual_payload
 from ..plans.visuals import KPI_TARGETS, visual
 from .registry import register
 
@@ -260,3 +261,66 @@ _visual(
           unnest([80, 20, 4, 20000, 40000])::double as meta
         from fct_incidentes""",
 )
+
+# --- payload texts ----------------------------------------------------------------------
+
+
+def _payload(key: str, name: str, sql: str) -> None:
+    register(key, lambda t: visual_payload(name)(t.facts, t.dims), sql)
+
+
+def _f(expr: str, digits: int = 1) -> str:
+    return f"ifnull(round(({expr})::decimal(18,6), {digits})::decimal(18,{digits})::varchar, '')"
+
+
+_payload(
+    "j1_payload", "p1_v1_rutas",
+    """select '{"tipo":"mapa_rutas","data":"'
+         || string_agg(origen_iata || '→' || destino_iata || ':' || vuelos, '|'
+              order by vuelos desc, origen_iata, destino_iata) || '"}' as payload
+       from (select * from (select origen_iata, destino_iata, count(*) as vuelos from fct_vuelos group by 1, 2)
+             qualify rank() over (order by vuelos desc) <= 30)""",
+)
+_payload(
+    "j9_payload", "p1_v9_control",
+    f"""select '{{"tipo":"control_chart","lsc":' || {_f('max(m + 2 * s)')} || ',"lic":' || {_f('max(greatest(0, m - 2 * s))')}
+          || ',"media":' || {_f('max(m)')} || ',"data":"'
+          || string_agg(strftime(fecha, '%d/%m/%Y') || ':' || {_f('avg_ret')}, '|' order by fecha) || '"}}' as payload
+        from (select *, avg(avg_ret) over () as m, stddev_pop(avg_ret) over () as s
+              from (select fecha, {_DELAY} from fct_vuelos group by 1))""",
+)
+_payload(
+    "j11_payload", "p1_v11_semaforo",
+    f"""select '{{"tipo":"semaforo","cols":"aerolinea:pct_tiempo:pct_retraso:pct_cancelado","data":"'
+          || string_agg(concat_ws(':', airline_name, {_f('t * 100')}, {_f('r * 100')}, {_f('c * 100')}), '|'
+               order by {_r6('t * 100')} desc, airline_name) || '"}}' as payload
+        from (select {_SHARES} from fct_vuelos group by 1)""",
+)
+_payload(
+    "j23_payload", "p3_v1_cierre",
+    f"""select '{{"tipo":"donut_kpi","label":"Casos Completados","kpi":' || {_f('p * 100')} || ',"meta":80,"data":"Completados:'
+          || {_f('p * 100')} || '|Pendientes:' || {_f('(1 - p) * 100')} || '"}}' as payload
+        from (select (count(*) filter (is_resolved))::double / count(*) as p from fct_incidentes)""",
+)
+_payload(
+    "j27_payload", "p3_v5_minutos",
+    """select '{"tipo":"barra_h","titulo":"Motivos · Minutos de Retraso Asociado","data":"'
+         || string_agg(motivo || ':' || format('{:,}', m), '|' order by m desc, motivo) || '"}' as payload
+       from (select * from (select motivo, sum(minutos_retraso_asociado)::bigint as m from fct_incidentes group by 1)
+             qualify rank() over (order by m desc) <= 8)""",
+)
+_payload(
+    "j32_payload", "p3_v10_detalle",
+    f"""select incidente_id || '~' || strftime(fecha, '%d/%m/%y') || '~' || airline_name || '~' || motivo || '~' || estado
+          || '~' || minutos_retraso_asociado || '~' || {_f('satisfaccion_cliente')} || '~' || {_f('tiempo_resolucion_horas')}
+          as payload
+        from fct_incidentes qualify rank() over (order by fecha desc) <= 10""",
+)
+_payload(
+    "j33_payload", "p3_v11_kpi",
+    f"""select '{{"tipo":"bullet_kpi","data":"TasaCierre:' || {_f('100.0 * count(*) filter (is_resolved) / count(*)')}
+          || ':80|TiempoRes:' || {_f('avg(tiempo_resolucion_horas)')} || ':20|Satisfaccion:'
+          || {_f('avg(satisfaccion_cliente)', 2)} || ':4.0|CasosCerrados:' || count(*) filter (is_resolved)
+          || ':20000|MinEvitados:' || format('{{:,}}', (sum(minutos_retraso_asociado) filter (is_resolved))::bigint)
+          || ':40000"}}' as payload from fct_incidentes""",
+)

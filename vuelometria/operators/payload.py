@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,21 +10,30 @@ from pyspark.sql import functions as F
 from ..functions.text import join_text
 
 
-def joined_rows(df: DataFrame, pieces: Sequence[Column | str], order: Sequence[str], row_sep: str = "|") -> DataFrame:
+def joined_rows(
+    df: DataFrame,
+    pieces: Sequence[Column | str],
+    order: Sequence[str],
+    extra: Mapping[str, Column] | None = None,
+    row_sep: str = "|",
+) -> DataFrame:
     """One row, column ``data``: ``pieces`` of each row concatenated, rows in ``order``.
 
     Plain strings in ``pieces`` are column names; ``order`` holds SQL sort keys such as
-    ``"vuelos desc"``. Only for frames that were already reduced to what a chart shows.
+    ``"vuelos desc"``; ``extra`` adds aggregates over the same rows. Only for frames that
+    were already reduced to what a chart shows.
     """
     lines = df.withColumn("__line", join_text(*pieces))
-    keys = ", ".join(order)
-    return lines.agg(F.expr(f"listagg(__line, '{row_sep}') within group (order by {keys})").alias("data"))
+    text = F.expr(f"listagg(__line, '{row_sep}') within group (order by {', '.join(order)})")
+    return lines.agg(text.alias("data"), *[value.alias(name) for name, value in (extra or {}).items()])
 
 
-def as_json(df: DataFrame, header: dict[str, str]) -> DataFrame:
-    """Column ``payload``: the header entries followed by ``data``, as JSON text."""
-    head = "".join(f'"{k}":"{v}",' for k, v in header.items())
-    return df.select(join_text(F.lit("{" + head + '"data":"'), F.col("data"), F.lit('"}')).alias("payload"))
+def as_json(df: DataFrame, header: Mapping[str, str], numbers: Iterable[str] = ()) -> DataFrame:
+    """Column ``payload``: quoted header entries, unquoted number columns, then ``data``."""
+    parts: list[Column] = [F.lit("{" + "".join(f'"{k}":"{v}",' for k, v in header.items()))]
+    for name in numbers:
+        parts += [F.lit(f'"{name}":'), F.col(name), F.lit(",")]
+    return df.select(join_text(*parts, F.lit('"data":"'), "data", F.lit('"}')).alias("payload"))
 
 
 def payload(
@@ -32,7 +41,7 @@ def payload(
     cols: Sequence[Column | str],
     order: Sequence[str],
     sep: str = ":",
-    header: dict[str, str] | None = None,
+    header: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``cols`` of every row joined by ``sep``, the rows by ``|``; as JSON text with a ``header``."""
     pieces: list[Column | str] = []
