@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.binding import BoundTables
 
-#: Records one pull should hold at most, about.
-PULL_ROWS = 5_000
-
 
 def _flight_record() -> Column:
     def end(prefix: str) -> Column:
@@ -57,36 +57,42 @@ def _delay_record() -> Column:
     )
 
 
-# feed -> (date column, day of the pull, record, unique part for splitting a pull)
+# feed -> (date column, day of the pull, record)
 _FEEDS = {
     "flights": ("flight_date", lambda d: F.trunc(d, "month"), _flight_record),
     "weather": ("weather_date", lambda d: F.trunc(d, "month"), _weather_record),
     "delays": ("report_date", lambda d: d, _delay_record),
 }
-_SOURCE = {"flights": "lineitem", "weather": "orders", "delays": "events"}
 
 
 def land_feed(t: BoundTables, feed: str, path: str, where: Column | None = None) -> str:
     """Writes a bound table as pulls: directories <feed>_<day>_<time> with one JSON document each.
 
-    A pull covers a month of flights or weather, or a day of incidents, and is split by a
-    hash of the record into as many pulls as its share of the rows asks for.
+    A document holds the records of one day (one month of flights or weather) out of one Arrow
+    batch, so its size is bounded however many rows a day has. Rebalancing cuts a large day
+    into several tasks.
     """
     date, day, record = _FEEDS[feed]
-    parts = max(1, t.source(_SOURCE[feed]).count() // (PULL_ROWS * 30))
     rows: DataFrame = getattr(t, feed)
     if where is not None:
         rows = rows.where(where)
-    second = F.pmod(F.xxhash64(*rows.columns), F.lit(parts))
-    pull = F.concat_ws(
-        "_", F.lit(feed), day(F.col(date)).cast("string"), F.date_format(F.timestamp_seconds(second), "HH-mm-ss")
-    )
-    documents = rows.select(pull.alias("pull"), record().alias("r")).groupBy("pull").agg(F.collect_list("r").alias("r"))
-    body = F.struct(F.col("r").alias("data")) if feed == "flights" else F.col("r")
-    (
-        documents.select("pull", F.to_json(body).alias("value"))
-        .write.mode("append")
-        .partitionBy("pull")
-        .text(path)
+    records = (
+        rows.select(day(F.col(date)).cast("string").alias("day"), F.col(date).alias("d"), F.to_json(record()).alias("r"))
+        .hint("rebalance", F.col("day"))
+        .sortWithinPartitions("d")
+        .select("day", "r")
     )
+    head, tail = ('{"data":[', "]}") if feed == "flights" else ("[", "]")
+
+    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = 0
+        for batch in batches:
+            for label, group in batch.groupby("day", sort=False):
+                time = f"{number // 3600:02d}-{number // 60 % 60:02d}-{number % 60:02d}"
+                number += 1
+                yield pd.DataFrame(
+                    {"pull": [f"{feed}_{label}_{time}"], "value": [head + ",".join(group["r"]) + tail]}
+                )
+
+    records.mapInPandas(documents, "pull string, value string").write.mode("append").partitionBy("pull").text(path)
     return path

@@ -18,15 +18,10 @@ def grand_total(df: DataFrame, value: Column) -> Column:
 def sum_of_groups(groups: DataFrame, column: str) -> Column:
     """Sum of ``column`` over already aggregated rows.
 
-    Like in ``top_with_ties`` the subquery keeps every column, so that the shuffle below the
-    groups is shared between the total and the rows. Each number is summed on its own.
+    ``groups`` should hold its keys and ``column`` only: then the subquery has the plan of the
+    rows it stands beside, and Spark runs their shuffle once for both.
     """
-    keep = F.max(F.struct(*[F.col(c) for c in groups.columns]))
-    return (
-        groups.agg(F.struct(F.sum(column).alias("__total"), keep.alias("__keep")).alias("__s"))
-        .select(F.col("__s").getField("__total"))
-        .scalar()
-    )
+    return grand_total(groups, F.sum(column))
 
 
 def running_total(daily: DataFrame, order: str, columns: Sequence[str], suffix: str = "_acum") -> DataFrame:
@@ -41,16 +36,7 @@ def running_total(daily: DataFrame, order: str, columns: Sequence[str], suffix:
 
 def control_limits(daily: DataFrame, measure: str, sigmas: float = 2.0) -> DataFrame:
     """Adds ``media``, ``lsc`` and ``lic``: mean and mean +- sigmas * population sigma, floor 0."""
-    keep = F.max(F.struct(*[F.col(c) for c in daily.columns]))
-    stats = (
-        daily.agg(
-            F.struct(
-                F.avg(measure).alias("mean"), F.stddev_pop(measure).alias("sigma"), keep.alias("keep")
-            ).alias("s")
-        )
-        .select(F.struct(F.col("s.mean").alias("mean"), F.col("s.sigma").alias("sigma")).alias("s"))
-        .scalar()
-    )
+    stats = grand_total(daily, F.struct(F.avg(measure).alias("mean"), F.stddev_pop(measure).alias("sigma")))
     mean, sigma = F.col("__stats.mean"), F.col("__stats.sigma")
     return (
         daily.withColumn("__stats", stats)

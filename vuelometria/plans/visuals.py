@@ -371,7 +371,8 @@ def _closed_and_open(t: Tables) -> DataFrame:
 @_visual
 def p3_v4_linea(t: Tables, n: int = 100) -> DataFrame:
     """Closed and open incidents on the first ``n`` dates of the calendar; NULL without incidents."""
-    axis = top_with_ties(t["dim_fecha"].select("fecha", "fecha_display"), "fecha", n, ascending=True)
+    # dates are unique, so there are no ties to keep
+    axis = t["dim_fecha"].select("fecha", "fecha_display").orderBy("fecha").limit(n)
     return drill_across(axis, "fecha", _closed_and_open(t))
 
 

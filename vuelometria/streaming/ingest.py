@@ -49,16 +49,20 @@ def start_feed(
     as_of: date | str | None = None,
     ts: datetime | str | None = None,
     files_per_batch: int | None = 100_000,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Starts one catch-up run over the files that no earlier run has taken.
 
     The checkpoint remembers the files and the sink log the committed batches, so a run that
     died is repeated without double rows. The plan is narrow (scan, explode, project): no
-    shuffle, the hot date of a daily feed is written by as many tasks as read it.
+    shuffle, the hot date of a daily feed is written by as many tasks as read it. With
+    ``archive`` the files of finished batches move there, which keeps the listing short.
     """
     reader = spark.readStream.schema(RAW[feed]).options(**RAW_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     documents = intact(feed, reader.json(paths.raw))
     rows = flatten(feed, documents, as_of, ts).observe("feed", F.count(F.lit(1)).alias("rows"))
     return (
