@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import uuid
 
 from pyspark.sql import DataFrame
@@ -17,7 +16,7 @@ from ..streaming.ingest import FeedError, FeedPaths, feed_counts, ingest_increme
 from .feeds import land_feed
 from .registry import register
 
-STAMP = datetime.datetime(2001, 12, 1)
+STAMP = "2001-12-01 00:00:00"
 HALF = "1998-01-16"
 
 
@@ -98,7 +97,7 @@ def _registered(t: BoundTables) -> DataFrame:
     database = f"vuelos_{uuid.uuid4().hex[:12]}"
     first = t.delays.select(
         F.col("user_id").cast("int").alias("user_id"), F.col("incident_id").cast("int").alias("incident_id"),
-        "incident_title", "is_resolved", F.lit(STAMP).alias("ingested_at"), "report_date",
+        "incident_title", "is_resolved", F.lit(STAMP).cast("timestamp").alias("ingested_at"), "report_date",
     )
     late = F.col("report_date") >= F.lit(HALF).cast("date")
     tables.write_partitioned(first.where(~late), path, "report_date")
@@ -177,7 +176,7 @@ register(
     lambda t: raw.with_ingested_at(t.delays.select("report_date", "incident_id"), STAMP)
     .groupBy("report_date", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("cargado"))
     .agg(F.count(F.lit(1)).alias("n")),
-    "select report_date, '2001-12-01 00:00:00' as cargado, count(*) as n from delays group by 1",
+    f"select report_date, '{STAMP}' as cargado, count(*) as n from delays group by 1",
 )
 
 
@@ -235,6 +234,32 @@ register(
     "select * from dim_aeropuerto order by airport_iata, airport_name limit 10",
 )
 
+# --- projections of raw records ---------------------------------------------------------
+
+
+def _b1(t: BoundTables) -> DataFrame:
+    records = raw.explode_data(raw.read_flights_raw(t.spark, _landed(t, "flights")))
+    return records.groupBy(F.col("f.departure.iata").alias("salida"), F.col("f.arrival.iata").alias("llegada")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+register(
+    "b1_explode",
+    _b1,
+    "select departure_iata as salida, arrival_iata as llegada, count(*) as n from flights group by 1, 2",
+)
+register(
+    "b2_flatten",
+    lambda t: raw.flatten_weather(raw.read_weather_raw(t.spark, _landed(t, "weather")), STAMP).drop("ingested_at"),
+    "select * exclude (oid) replace (local_time || ' 9:05' as local_time) from weather",
+)
+register(
+    "b3_casts",
+    lambda t: raw.flatten_delays(raw.read_delays_raw(t.spark, _landed(t, "delays")), ts=STAMP).drop("ingested_at"),
+    f"select {_DELAY_COLUMNS} from delays",
+)
+
 # --- feeds from JSON to processed tables ------------------------------------------------
 
 

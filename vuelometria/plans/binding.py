@@ -76,20 +76,24 @@ class BoundTables:
         region = self.source("region").select(
             F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("origin_city")
         )
-        suppliers = (
-            self.source("supplier")
-            .select(F.col("s_suppkey").alias("l_suppkey"), "s_suppkey", "s_name", "s_nationkey")
-            .join(origin, "s_nationkey")
-            .join(region, "n_regionkey")
+        suppliers = self.source("supplier").select(
+            F.col("s_suppkey").alias("l_suppkey"), "s_suppkey", "s_name", "s_nationkey"
         )
-        customers = (
-            self.source("customer")
-            .select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        customers = self.source("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        # Customers go onto the orders, so the line items are shuffled once, by order. The small
+        # tables are joined one by one: Catalyst knows their file sizes, but not those of a join.
+        orders = (
+            self.source("orders")
+            .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+            .join(customers, "o_custkey")
             .join(target, "c_nationkey")
         )
-        orders = self.source("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
         joined = (
-            self.source("lineitem").join(orders, "l_orderkey").join(suppliers, "l_suppkey").join(customers, "o_custkey")
+            self.source("lineitem")
+            .join(orders, "l_orderkey")
+            .join(suppliers, "l_suppkey")
+            .join(origin, "s_nationkey")
+            .join(region, "n_regionkey")
         )
         status = (
             F.when(F.col("l_discount") > 0.095, "cancelled")
@@ -124,15 +128,15 @@ class BoundTables:
 
     @cached_property
     def weather(self) -> DataFrame:
+        customers = self.source("customer").select(
+            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
+        )
+        nations = self.source("nation").select("n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
         places = (
-            self.source("customer")
-            .select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
-            .join(self.source("nation").select("n_nationkey", "n_regionkey"), "n_nationkey")
-            .join(
-                self.source("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("city")),
-                "n_regionkey",
-            )
-            .select("o_custkey", "city")
+            self.source("orders")
+            .join(customers, "o_custkey")
+            .join(nations, "n_nationkey")
+            .join(self.source("region").withColumnRenamed("r_name", "city"), "r_regionkey")
         )
         key, who, rank = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
         rough = rank <= "2-HIGH"
@@ -152,34 +156,30 @@ class BoundTables:
             condition = F.when(rank == level, F.when(even, first).otherwise(second)).otherwise(condition)
         date = F.col("o_orderdate").cast("date")
         temp = number(key % 35)
-        return (
-            self.source("orders")
-            .join(places, "o_custkey")
-            .select(
-                key.alias("oid"),
-                date.alias("weather_date"),
-                "city",
-                F.col("city").alias("region"),
-                F.lit("XX").alias("country"),
-                F.lit(0.0).alias("latitude"),
-                F.lit(0.0).alias("longitude"),
-                date.cast("string").alias("local_time"),
-                temp.alias("temp_c"),
-                (temp * 1.8 + 32.0).alias("temp_f"),
-                number(40 + who % 60, "int").alias("humidity"),
-                number(F.when(rough, who % 70).otherwise(who % 50)).alias("wind_kph"),
-                F.lit("N").alias("wind_direction"),
-                number(990 + key % 40).alias("pressure_mb"),
-                number(F.when(rough, key % 13).otherwise(key % 9)).alias("precip_mm"),
-                number(F.when(rough, key % 97).otherwise(key % 80), "int").alias("cloud_coverage"),
-                F.when(key % 11 == 0, F.lit(None).cast("double"))
-                .when(rough, number(key % 15))
-                .when(rank == "5-LOW", number(3 + key % 3))
-                .otherwise(number(5 + key % 10))
-                .alias("visibility_km"),
-                condition.alias("condition"),
-                number(F.when(rank == "3-MEDIUM", 60 + who % 41).otherwise(who % 101), "int").alias("chance_of_rain"),
-            )
+        return places.select(
+            key.alias("oid"),
+            date.alias("weather_date"),
+            "city",
+            F.col("city").alias("region"),
+            F.lit("XX").alias("country"),
+            F.lit(0.0).alias("latitude"),
+            F.lit(0.0).alias("longitude"),
+            date.cast("string").alias("local_time"),
+            temp.alias("temp_c"),
+            (temp * 1.8 + 32.0).alias("temp_f"),
+            number(40 + who % 60, "int").alias("humidity"),
+            number(F.when(rough, who % 70).otherwise(who % 50)).alias("wind_kph"),
+            F.lit("N").alias("wind_direction"),
+            number(990 + key % 40).alias("pressure_mb"),
+            number(F.when(rough, key % 13).otherwise(key % 9)).alias("precip_mm"),
+            number(F.when(rough, key % 97).otherwise(key % 80), "int").alias("cloud_coverage"),
+            F.when(key % 11 == 0, F.lit(None).cast("double"))
+            .when(rough, number(key % 15))
+            .when(rank == "5-LOW", number(3 + key % 3))
+            .otherwise(number(5 + key % 10))
+            .alias("visibility_km"),
+            condition.alias("condition"),
+            number(F.when(rank == "3-MEDIUM", 60 + who % 41).otherwise(who % 101), "int").alias("chance_of_rain"),
         )
 
     @cached_property

@@ -119,8 +119,10 @@ def run_models(
         flights = only(tables["flights"], "flight_date", dates)
         flights = flights.where(F.col("flight_date").isNotNull() & F.col("flight_number").isNotNull())
         placed = flights.join(cities.withColumnRenamed("airport_iata", "departure_iata"), "departure_iata", "left")
+        # an increment is small and gets compacted; the whole history is written where it was read
         write_partitioned(
-            facts.fct_vuelos(placed, clima, "ciudad"), f"{curated}/fct_vuelos", "fecha", mode="overwrite"
+            facts.fct_vuelos(placed, clima, "ciudad"), f"{curated}/fct_vuelos", "fecha", "overwrite",
+            balance=since is not None,
         )
     return changed
 
