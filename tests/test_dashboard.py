@@ -147,3 +147,26 @@ def test_approximate_diversity_is_close(bound):
     exact = flight_diversity(bound.stg_flights).agg(F.sum("num_aerolineas")).collect()[0][0]
     approx = flight_diversity(bound.stg_flights, approx=True).agg(F.sum("num_aerolineas")).collect()[0][0]
     assert abs(exact - approx) <= 0.1 * exact
+
+
+def test_short_incidents_follow_from_the_daily_table(bound):
+    from vuelometria.plans.daily import incidents_from_daily
+
+    direct = bound.incidents_per_day
+    derived = incidents_from_daily(bound.int_delays_daily).select(direct.columns)
+    assert sorted(derived.collect()) == sorted(direct.collect())
+
+
+def test_dimensions_follow_from_dated_rollups(bound):
+    from vuelometria.plans import facts, rollups
+    from vuelometria.plans.daily import weather_daily_from_rollup
+
+    airlines = marts.dim_aerolinea_from_rollup(rollups.airline_rollup(bound.stg_flights))
+    assert sorted(airlines.collect()) == sorted(bound.dim_aerolinea.collect())
+    airports = marts.dim_aeropuerto_from_rollup(rollups.route_rollup(bound.stg_flights))
+    assert sorted(airports.collect()) == sorted(bound.dim_aeropuerto.collect())
+    measured = rollups.daily_weather_rollup(bound.stg_weather)
+    conditions = marts.dim_condicion_clima_from_rollup(measured)
+    assert sorted(conditions.collect()) == sorted(bound.dim_condicion_clima.collect())
+    assert weather_daily_from_rollup(measured).count() == bound.int_weather_daily.count()
+    assert facts.clima_diario_from_rollup(measured).count() == bound.fct_clima_diario.count()

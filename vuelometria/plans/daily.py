@@ -112,3 +112,10 @@ def incidents_per_day(stg_delays: DataFrame) -> DataFrame:
         count_where(F.col("prioridad") == "alta").alias("incidentes_alta_prioridad"),
         pct(closed, total, digits=None).alias("pct_resolucion"),
     )
+
+
+def incidents_from_daily(incidents_daily: DataFrame) -> DataFrame:
+    """:func:`incidents_per_day` out of the full daily table."""
+    counts = ("total_incidentes", "incidentes_resueltos", "incidentes_alta_prioridad")
+    share = pct("incidentes_resueltos", "total_incidentes", digits=None)
+    return incidents_daily.select("report_date", *counts, share.alias("pct_resolucion"))

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.schemas import PARTITION, PROCESSED
-from ..sources.tables import materialize, read_processed, write_partitioned
+from ..sources.tables import balanced, materialize, read_processed, write_partitioned
 from ..streaming.ingest import FEEDS, FeedError, FeedPaths, FeedReport, run_feeds
 from . import daily, facts, marts, rollups, staging
 
-MONTH = "mes_particion"
 #: File times and the clock of the driver may differ by this much.
 CLOCK_SLACK = timedelta(hours=1)
 
@@ -56,21 +55,19 @@ def only(df: DataFrame, column: str, dates: Sequence[date] | None) -> DataFrame:
 
 
 def replace_dates(fresh: DataFrame, path: str, column: str, dates: Sequence[date] | None) -> DataFrame:
-    """Puts the rows of ``dates`` into a small daily table, which is stored by month.
+    """Puts the rows of ``dates`` into a daily table, which has one partition per date.
 
-    The untouched days of a touched month are carried over from the table itself; months
-    without a change are not read. The partitions are swapped when the job commits.
+    Whole partitions are written from the records alone, never from the table itself, so a run
+    that died half-way is put right by the next one.
     """
     spark = fresh.sparkSession
-    rows = fresh.withColumn(MONTH, F.trunc(column, "month"))
     if dates is None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
+        balanced(fresh, column).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            column
+        ).parquet(path)
     elif dates:
-        months = sorted({d.replace(day=1) for d in dates})
-        kept = spark.read.schema(rows.schema).parquet(path)
-        kept = kept.where(F.col(MONTH).isin(months) & ~F.col(column).isin(list(dates)))
-        write_partitioned(kept.unionByName(rows), path, MONTH, mode="overwrite")
-    return spark.read.schema(rows.schema).parquet(path).drop(MONTH)
+        write_partitioned(fresh, path, column, mode="overwrite")
+    return spark.read.schema(fresh.schema).parquet(path)
 
 
 def run_models(
@@ -99,7 +96,6 @@ def run_models(
     routes = keep("rollup_ruta", rollups.route_rollup(stg_f), "flights")
     measured = keep("rollup_clima", rollups.daily_weather_rollup(stg_w), "weather")
     incidents_daily = keep("int_delays_daily", daily.int_delays_daily(stg_d), "delays")
-    incidents_short = keep("incidents_per_day", daily.incidents_per_day(stg_d), "delays")
 
     def table(name: str, df: DataFrame) -> DataFrame:
         return materialize(df, f"{curated}/{name}")
@@ -110,6 +106,7 @@ def run_models(
     table("dim_aerolinea", marts.dim_aerolinea_from_rollup(airlines))
     table("dim_aeropuerto", marts.dim_aeropuerto_from_rollup(routes))
     table("dim_condicion_clima", marts.dim_condicion_clima_from_rollup(measured))
+    incidents_short = daily.incidents_from_daily(incidents_daily)
     lean = marts.fct_flights_lean(flights_daily, weather_daily, incidents_short, city)
     full = marts.fct_flights_full(flights_daily, weather_daily, incidents_daily, city)
     table("fct_flights_lean", marts.with_updated_at(lean))
