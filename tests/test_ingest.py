@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from vuelometria.plans import daily_run
 from vuelometria.plans.daily_run import run_daily
 from vuelometria.sources import raw, tables
 from vuelometria.streaming.ingest import FeedError, FeedPaths, ingest_incremental, run_feeds
@@ -131,7 +132,7 @@ def test_dynamic_overwrite_keeps_other_dates(spark, tmp_path):
     assert sorted(r["x"] for r in back.collect()) == [1, 9]
 
 
-def test_daily_job_recomputes_changed_dates_only(spark, tmp_path):
+def test_daily_job_recomputes_changed_dates_only(spark, tmp_path, monkeypatch):
     where = [str(tmp_path / d) for d in ("raw", "out", "curated", "ck")]
     cities = spark.createDataFrame([("BOG", "Medellin")], "airport_iata string, ciudad string")
 
@@ -158,10 +159,22 @@ def test_daily_job_recomputes_changed_dates_only(spark, tmp_path):
     assert curated("dim_fecha").count() == 2
     assert curated("fct_vuelos").count() == 4
 
+    # weather that comes late reaches the flights of its date, and only those
+    late = json.loads(json.dumps(WEATHER).replace("2026-04-01", "2026-04-02").replace("Partly cloudy", "Fog"))
+    put(tmp_path, "weather", "w2.json", late)
+    slack = daily_run.CLOCK_SLACK
+    monkeypatch.setattr(daily_run, "CLOCK_SLACK", datetime.timedelta(0))
+    third = run_daily(spark, *where, since=datetime.datetime.now(datetime.timezone.utc), cities=cities)
+    monkeypatch.setattr(daily_run, "CLOCK_SLACK", slack)
+    assert third.changed == {"flights": [], "weather": [datetime.date(2026, 4, 2)], "delays": []}
+    conditions = {(r["fecha"].day, r["condicion_clima"]) for r in curated("fct_vuelos").collect()}
+    assert conditions == {(1, "Partly cloudy"), (2, "Fog")}
+    assert curated("fct_vuelos").count() == 4 and curated("int_weather_daily").count() == 2
+
     # nothing new: the same tables again
     later = datetime.datetime.now(datetime.timezone.utc) + datetime.timedelta(hours=2)
-    third = run_daily(spark, *where, since=later, cities=cities)
-    assert third.changed == {"flights": [], "weather": [], "delays": []}
+    last = run_daily(spark, *where, since=later, cities=cities)
+    assert last.changed == {"flights": [], "weather": [], "delays": []}
     assert {r["total_vuelos"] for r in curated("fct_flights_analytics").collect()} == {3, 1}
 
 

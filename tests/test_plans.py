@@ -79,6 +79,18 @@ def test_ranking_runs_the_aggregation_once(spark, folder):
         assert "ReusedExchange" in plan(df), key
 
 
+def test_latest_rows_read_only_their_partitions(spark, processed):
+    from vuelometria.operators.topn import latest_with_ties
+
+    flights = tables.read_processed(spark, processed, "flights")
+    last = latest_with_ties(flights, "flight_date", 10)
+    rows = last.collect()
+    text = plan(last)
+    assert "PartitionFilters: [isnotnull(flight_date" in text and "Subquery" in text.split("PartitionFilters", 1)[1]
+    newest = sorted((r[0] for r in flights.select("flight_date").collect()), reverse=True)
+    assert sorted(r["flight_date"] for r in rows) == sorted(d for d in newest if d >= newest[9])
+
+
 def hot_rows(spark, n):
     """Nine of ten rows fall on one date and city."""
     day = F.when(F.col("id") % 10 < 9, F.lit("2026-04-01")).otherwise(

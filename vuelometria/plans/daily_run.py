@@ -100,8 +100,11 @@ def run_models(
     def table(name: str, df: DataFrame) -> DataFrame:
         return materialize(df, f"{curated}/{name}")
 
-    weather_daily = table("int_weather_daily", daily.weather_daily_from_rollup(measured))
-    clima = table("fct_clima_diario", facts.clima_diario_from_rollup(measured))
+    new_weather = only(measured, "weather_date", changed["weather"])
+    weather_daily = keep("int_weather_daily", daily.weather_daily_from_rollup(new_weather), "weather")
+    clima = replace_dates(
+        facts.clima_diario_from_rollup(new_weather), f"{curated}/fct_clima_diario", "fecha", changed["weather"]
+    )
     table("dim_fecha", marts.dim_fecha(flights_daily, weather_daily, incidents_daily))
     table("dim_aerolinea", marts.dim_aerolinea_from_rollup(airlines))
     table("dim_aeropuerto", marts.dim_aeropuerto_from_rollup(routes))
@@ -116,11 +119,10 @@ def run_models(
         flights = only(tables["flights"], "flight_date", dates)
         flights = flights.where(F.col("flight_date").isNotNull() & F.col("flight_number").isNotNull())
         placed = flights.join(cities.withColumnRenamed("airport_iata", "departure_iata"), "departure_iata", "left")
+        # With the partitions of the other dates pruned, Catalyst knows that the weather is small.
+        vuelos = facts.fct_vuelos(placed, only(clima, "fecha", dates), "ciudad")
         # an increment is small and gets compacted; the whole history is written where it was read
-        write_partitioned(
-            facts.fct_vuelos(placed, clima, "ciudad"), f"{curated}/fct_vuelos", "fecha", "overwrite",
-            balance=since is not None,
-        )
+        write_partitioned(vuelos, f"{curated}/fct_vuelos", "fecha", "overwrite", balance=since is not None)
     return changed
 
 
