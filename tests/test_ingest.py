@@ -187,3 +187,16 @@ def test_daily_job_without_weather(spark, tmp_path):
         run_daily(spark, *where, as_of="2026-04-01")
     row = spark.read.parquet(f"{where[2]}/fct_flights_lean").collect()[0]
     assert row["avg_temp_c"] is None and row["total_incidentes"] == 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from vuelometria.__main__ import main
+
+    where = [str(tmp_path / d) for d in ("raw", "out", "curated", "ck")]
+    put(tmp_path, "flights", "f1.json", {"data": [FLIGHT]})
+    put(tmp_path, "weather", "w1.json", [WEATHER, {**WEATHER, "location": {**WEATHER["location"], "name": "Cali"}}])
+    put(tmp_path, "delays", "d.json", [INCIDENT])
+    main([*where, "--as-of", "2026-04-01", "--city", "Medellin"])
+    assert "weather: 2 rows" in capsys.readouterr().out
+    fact = spark.read.parquet(f"{where[2]}/fct_flights_analytics").collect()
+    assert [r["ciudad_clima"] for r in fact] == ["Medellin"]

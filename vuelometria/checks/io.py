@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.shape import preview
 from ..plans.binding import BoundTables
+from ..plans.models import build_models
 from ..session import scratch_dir
 from ..sources import raw, tables
 from ..sources.schemas import PARTITION
@@ -127,12 +128,22 @@ register("a8_csv", _a8, "select * from dim_fecha")
 
 
 def _a9(t: BoundTables) -> DataFrame:
+    """All models as views, queried by name."""
     prefix = f"v{uuid.uuid4().hex[:12]}_"
-    tables.register_views(t.spark, {"stg_delays": t.stg_delays}, prefix)
-    return t.spark.sql(f"select prioridad, estado_incidente, count(*) as n from {prefix}stg_delays group by all")
+    tables.register_views(t.spark, build_models(t.flights, t.weather, t.delays), prefix)
+    return t.spark.sql(
+        f"""select d.trimestre, f.dia_critico, count(*) as n, sum(f.total_vuelos) as vuelos
+            from {prefix}fct_flights_analytics f join {prefix}dim_fecha d on d.fecha = f.fecha
+            group by d.trimestre, f.dia_critico"""
+    )
 
 
-register("a9_views", _a9, "select prioridad, estado_incidente, count(*) as n from stg_delays group by all")
+register(
+    "a9_views",
+    _a9,
+    """select trimestre, dia_critico, count(*) as n, sum(total_vuelos)::bigint as vuelos
+       from fct_full join dim_fecha using (fecha) group by 1, 2""",
+)
 
 
 def _a10(t: BoundTables) -> DataFrame:
