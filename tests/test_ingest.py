@@ -109,6 +109,20 @@ def test_second_run_takes_only_new_files(spark, tmp_path):
     assert counts == {"2026-04-01": 3, "2026-04-02": 2}
 
 
+def test_many_pulls_of_a_day_become_few_files(spark, tmp_path):
+    for i in range(40):
+        put(tmp_path, "delays", f"delays_2026-04-01_10-00-{i:02d}.json", [INCIDENT] * 5)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8KB")
+    try:
+        for balance, files in ((True, 1), (False, 40)):
+            paths = FeedPaths(str(tmp_path / "raw/delays"), str(tmp_path / f"o{balance}"), str(tmp_path / f"c{balance}"))
+            assert ingest_incremental(spark, "delays", paths, balance=balance) == 200
+            assert len(list((tmp_path / f"o{balance}/report_date=2026-04-01").glob("*.parquet"))) == files
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_broken_feed_does_not_stop_the_others(spark, tmp_path):
     put(tmp_path, "flights", "f.json", {"data": [FLIGHT]})
     put(tmp_path, "weather", "w.json", '{"location": ')

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.raw import RAW_OPTIONS, flatten, intact
 from ..sources.schemas import PARTITION, RAW
+from ..sources.tables import balanced
 
 FEEDS = ("flights", "weather", "delays")
 
@@ -48,14 +49,16 @@ def start_feed(
     paths: FeedPaths,
     as_of: date | str | None = None,
     ts: datetime | str | None = None,
+    balance: bool = True,
     files_per_batch: int | None = 100_000,
     archive: str | None = None,
 ) -> StreamingQuery:
     """Starts one catch-up run over the files that no earlier run has taken.
 
     The checkpoint remembers the files and the sink log the committed batches, so a run that
-    died is repeated without double rows. The plan is narrow (scan, explode, project): no
-    shuffle, the hot date of a daily feed is written by as many tasks as read it. With
+    died is repeated without double rows. Pulls are small and many; with ``balance`` the parsed
+    rows are gathered by date before they are written (a large date by several tasks), so a
+    date gets few files. A backfill of pulls in date order does without that shuffle. With
     ``archive`` the files of finished batches move there, which keeps the listing short.
     """
     reader = spark.readStream.schema(RAW[feed]).options(**RAW_OPTIONS)
@@ -64,7 +67,10 @@ def start_feed(
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     documents = intact(feed, reader.json(paths.raw))
-    rows = flatten(feed, documents, as_of, ts).observe("feed", F.count(F.lit(1)).alias("rows"))
+    flat = flatten(feed, documents, as_of, ts)
+    if balance:
+        flat = balanced(flat, PARTITION[feed])
+    rows = flat.observe("feed", F.count(F.lit(1)).alias("rows"))
     return (
         rows.writeStream.format("parquet")
         .option("path", paths.processed)
@@ -87,9 +93,10 @@ def ingest_incremental(
     paths: FeedPaths,
     as_of: date | str | None = None,
     ts: datetime | str | None = None,
+    balance: bool = True,
 ) -> int:
     """Takes the new files of one feed; returns the number of rows added."""
-    query = start_feed(spark, feed, paths, as_of, ts)
+    query = start_feed(spark, feed, paths, as_of, ts, balance)
     query.awaitTermination()
     return rows_added(query)
 
@@ -99,12 +106,13 @@ def run_feeds(
     paths: Mapping[str, FeedPaths],
     as_of: date | str | None = None,
     ts: datetime | str | None = None,
+    balance: bool = True,
 ) -> list[FeedReport]:
     """Runs all feeds side by side. A broken feed does not stop the others; it raises at the end."""
     running: dict[str, StreamingQuery | str] = {}
     for feed, place in paths.items():
         try:
-            running[feed] = start_feed(spark, feed, place, as_of, ts)
+            running[feed] = start_feed(spark, feed, place, as_of, ts, balance)
         except Exception as exc:  # a feed must not take the others down
             running[feed] = _reason(exc)
     reports = []
