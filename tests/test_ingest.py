@@ -203,6 +203,17 @@ def test_daily_job_without_weather(spark, tmp_path):
     assert row["avg_temp_c"] is None and row["total_incidentes"] == 1
 
 
+def test_models_of_a_feed_that_never_came(spark, tmp_path):
+    processed, curated = str(tmp_path / "out"), str(tmp_path / "curated")
+    put(tmp_path, "flights", "f1.json", {"data": [FLIGHT]})
+    ingest_incremental(spark, "flights", paths_of(tmp_path, "flights"))
+    assert daily_run.run_models(spark, processed, curated) == {"flights": None, "weather": None, "delays": None}
+    recently = datetime.datetime.now(datetime.timezone.utc)
+    changed = daily_run.run_models(spark, processed, curated, since=recently)
+    assert changed == {"flights": [datetime.date(2026, 4, 1)], "weather": [], "delays": []}
+    assert spark.read.parquet(f"{curated}/fct_flights_analytics").collect()[0]["total_incidentes"] == 0
+
+
 def test_command_line(spark, tmp_path, capsys):
     from vuelometria.__main__ import main
 

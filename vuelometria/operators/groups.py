@@ -19,7 +19,8 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     candidate = F.when(
-        F.col(value).isNotNull(), F.struct((-F.col("__n")).alias("rank"), F.col(value).alias("value"), F.col("__n").alias("n"))
+        F.col(value).isNotNull(),
+        F.struct((-F.col("__n")).alias("rank"), F.col(value).alias("value"), F.col("__n").alias("n")),
     )
     return (
         counted.groupBy(*keys)

@@ -26,14 +26,14 @@ class RunReport:
     changed: dict[str, list[date] | None] = field(default_factory=dict)
 
 
-def processed_or_empty(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """A feed that never delivered anything is an empty table."""
+def processed_table(spark: SparkSession, path: str, feed: str) -> tuple[DataFrame, bool]:
+    """The table of a feed and whether it exists; a feed that never delivered is an empty table."""
     try:
-        return read_processed(spark, path, feed)
+        return read_processed(spark, path, feed), True
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
-        return spark.createDataFrame([], PROCESSED[feed])
+        return spark.createDataFrame([], PROCESSED[feed]), False
 
 
 def changed_dates(table: DataFrame, column: str, since: datetime | None) -> list[date] | None:
@@ -62,9 +62,13 @@ def replace_dates(fresh: DataFrame, path: str, column: str, dates: Sequence[date
     """
     spark = fresh.sparkSession
     if dates is None:
-        balanced(fresh, column).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            column
-        ).parquet(path)
+        (
+            balanced(fresh, column)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(column)
+            .parquet(path)
+        )
     elif dates:
         write_partitioned(fresh, path, column, mode="overwrite")
     return spark.read.schema(fresh.schema).parquet(path)
@@ -82,8 +86,11 @@ def run_models(
 
     With ``cities`` (airport_iata, ciudad) the per-flight fact of the dashboard is kept as well.
     """
-    tables = {feed: processed_or_empty(spark, f"{processed}/{feed}", feed) for feed in FEEDS}
-    changed = {feed: changed_dates(tables[feed], PARTITION[feed], since) for feed in FEEDS}
+    tables: dict[str, DataFrame] = {}
+    changed: dict[str, list[date] | None] = {}
+    for feed in FEEDS:
+        tables[feed], exists = processed_table(spark, f"{processed}/{feed}", feed)
+        changed[feed] = changed_dates(tables[feed], PARTITION[feed], since) if exists or since is None else []
     stg_f = staging.stg_flights(only(tables["flights"], "flight_date", changed["flights"]))
     stg_w = staging.stg_weather(only(tables["weather"], "weather_date", changed["weather"]))
     stg_d = staging.stg_delays(only(tables["delays"], "report_date", changed["delays"]))
