@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .line_frequency import line_quality
+from .odd_sketch import near_copies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,4 +17,11 @@ def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op5_line_frequency": op5_line_frequency}
+def op8_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "op5_line_frequency": op5_line_frequency,
+    "op8_odd_sketch": op8_odd_sketch,
+}

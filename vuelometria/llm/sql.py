@@ -52,4 +52,31 @@ select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
 from base
 """
 
-ORACLES: dict[str, str] = {"op5_line_frequency": LINE_FREQUENCY}
+NEAR_COPIES = rf"""
+with recursive d as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as w
+    from documents
+),
+shingles as (
+    select distinct doc_id, array_to_string(w[i : i + 3], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from d where len(w) > 0)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+    select a, b from (
+        select x.doc_id as a, y.doc_id as b, count(*) as c
+        from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id
+    ) join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * c >= 80 * (p.n + q.n - c)
+),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id,
+    doc_id = least(doc_id, coalesce(low, doc_id)) as kept
+from documents left join sizes using (doc_id) left join (select a as doc_id, min(b) as low from reach group by a) using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_line_frequency": LINE_FREQUENCY,
+    "op8_odd_sketch": NEAR_COPIES,
+}
