@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .line_frequency import line_quality
 from .odd_sketch import near_copies
+from .template_windows import decontamination
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_template_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(table(spark, folder, "documents"))
 
@@ -22,6 +27,7 @@ def op8_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_template_windows": op2_template_windows,
     "op5_line_frequency": op5_line_frequency,
     "op8_odd_sketch": op8_odd_sketch,
 }
