@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .budget_mix import mixture
 from .common import table
+from .interleaving import interleaved
 from .line_frequency import line_quality
 from .odd_sketch import near_copies
 from .template_windows import decontamination
@@ -18,6 +20,10 @@ def op2_template_windows(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_budget_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(table(spark, folder, "documents"))
+
+
 def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(table(spark, folder, "documents"))
 
@@ -26,8 +32,14 @@ def op8_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents"))
 
 
+def op9_interleaving(spark: SparkSession, folder: str) -> DataFrame:
+    return interleaved(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_template_windows": op2_template_windows,
+    "op4_budget_mix": op4_budget_mix,
     "op5_line_frequency": op5_line_frequency,
     "op8_odd_sketch": op8_odd_sketch,
+    "op9_interleaving": op9_interleaving,
 }
