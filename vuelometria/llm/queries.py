@@ -11,7 +11,9 @@ from .common import table
 from .interleaving import interleaved
 from .line_frequency import line_quality
 from .odd_sketch import near_copies
+from .reply_trees import conversation_digests
 from .template_windows import decontamination
+from .url_trie import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,21 @@ def op2_template_windows(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+# The rules of op3 and the added conversation of op10.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+ADDED_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op3_url_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_urls(table(spark, folder, "pages"), URL_RULES)
+
+
 def op4_budget_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents"))
 
@@ -36,10 +53,18 @@ def op9_interleaving(spark: SparkSession, folder: str) -> DataFrame:
     return interleaved(table(spark, folder, "documents"))
 
 
+def op10_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", ADDED_TEXT), (-1, 1, "assistant", ADDED_TEXT)], conversations.schema)
+    return conversation_digests(conversations.unionByName(added))
+
+
 QUERIES: dict[str, Query] = {
     "op2_template_windows": op2_template_windows,
+    "op3_url_trie": op3_url_trie,
     "op4_budget_mix": op4_budget_mix,
     "op5_line_frequency": op5_line_frequency,
     "op8_odd_sketch": op8_odd_sketch,
     "op9_interleaving": op9_interleaving,
+    "op10_reply_trees": op10_reply_trees,
 }
