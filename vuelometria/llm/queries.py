@@ -12,12 +12,17 @@ from .interleaving import interleaved
 from .line_frequency import line_quality
 from .odd_sketch import near_copies
 from .reply_trees import conversation_digests
+from .surrogates import surrogate_documents
 from .template_windows import decontamination
 from .url_trie import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogate_documents(table(spark, folder, "documents"), key="a key for tests")
+
+
 def op2_template_windows(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -60,6 +65,7 @@ def op10_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_surrogates": op1_surrogates,
     "op2_template_windows": op2_template_windows,
     "op3_url_trie": op3_url_trie,
     "op4_budget_mix": op4_budget_mix,
