@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .budget_mix import mixture
 from .common import table
 from .interleaving import interleaved
+from .license_scan import scan_licenses
 from .line_frequency import line_quality
 from .odd_sketch import near_copies
 from .reply_trees import conversation_digests
 from .surrogates import surrogate_documents
 from .template_windows import decontamination
 from .url_trie import filter_urls
+from .wrapper import extract_articles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +52,14 @@ def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(table(spark, folder, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op7_wrapper(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_articles(table(spark, folder, "pages"))
+
+
 def op8_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents"))
 
@@ -70,6 +80,8 @@ QUERIES: dict[str, Query] = {
     "op3_url_trie": op3_url_trie,
     "op4_budget_mix": op4_budget_mix,
     "op5_line_frequency": op5_line_frequency,
+    "op6_license_scan": op6_license_scan,
+    "op7_wrapper": op7_wrapper,
     "op8_odd_sketch": op8_odd_sketch,
     "op9_interleaving": op9_interleaving,
     "op10_reply_trees": op10_reply_trees,
