@@ -1,0 +1,68 @@
+import re
+
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import docs_frame
+from vuelometria.llm.surrogates import (
+    ENTITY, GIVEN, distinct_entities, redrawn_entities, replacement, surrogate_documents, with_surrogates,
+)
+
+TEXT = (
+    "Mail the.72@mail3.example.com or THE.72@mail3.example.com, +1 (469) 555-3334, +1 469-555-3334; 79.31.107.87\n"
+    'Frau Weber met Anna Weber and Dr. Hans Müller. token = "ab8ca1b325bc4f85aa6a79e73fc4cbfc2098878e" 4111 1111 1111 1111 '
+    "DE89 3704 0044 0532 0130 00 123-45-6789 Анна Иванова 4111111111111111"
+)
+
+
+def digits(s):
+    return re.sub(r"\D", "", s)
+
+
+def test_kinds_keep_their_form(spark):
+    (r,) = surrogate_documents(docs_frame(spark, [(1, TEXT, "a")]), "key").collect()
+    assert r.n_entities == 14
+    for secret in ("the.72@", "mail3.example", "555-3334", "79.31.107.87", "Weber", "Müller", "ab8ca1b325", "4111", "3704", "123-45", "Иванова", "Hans"):
+        assert secret not in r.text
+    a, b = re.findall(r"(\S+@\S+?)[ ,]", r.text)
+    assert re.fullmatch(r"[a-z]{3}\.\d\d@[a-z]+\d\.[a-z]+\.com", a) and b.lower() == a and b[:3].isupper()
+    p, q = re.search(r"(\+1 \(\d{3}\) \d{3}-\d{4}), (\+1 \d{3}-\d{3}-\d{4});", r.text).groups()
+    assert digits(p) == digits(q)
+    who = re.search(r"Frau (\w+) met (\w+) (\w+) and Dr\. (\w+) \w+\. token = \"([0-9a-f]{40})\"", r.text).groups()
+    assert who[0] == who[2] and who[1] in GIVEN[0] and who[3] in GIVEN[1]
+    cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}(?= DE)|\d{16}$", r.text)
+    assert digits(cards[0]) == cards[1] and cards[1][0] == "4"
+    assert sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(cards[1]))) % 10 == 0
+    given, family = re.search(r"(\w+) (\w+) \d{16}$", r.text).groups()
+    assert given in GIVEN[2] and re.fullmatch("[А-Яа-я]+", family)
+    assert re.search(r"\d+\.\d+\.\d+\.\d+\n", r.text) and re.search(r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d \d{3}-\d\d-\d{4}", r.text)
+
+
+def test_collisions_are_drawn_again(spark):
+    # twenty of the 26 local parts of one letter cannot be replaced without a second draw
+    mails = [f"{c}@b.co" for c in "abcdefghijklmnopqrst"]
+    docs = docs_frame(spark, [(i, f"write to {m} or {mails[0]}, not to x", "a") for i, m in enumerate(mails)])
+    got = {r.doc_id: re.findall(r"\S+@[^\s,]+", r.text) for r in surrogate_documents(docs, "key").collect()}
+    first = [got[i][0] for i in range(20)]
+    assert len(set(first)) == 20 and not set(first) & set(mails)
+    assert {pair[1] for pair in got.values()} == {got[0][0]}
+    redrawn = redrawn_entities(distinct_entities(docs.select("text")), "key")
+    assert redrawn is not None and redrawn.count() > 0
+
+
+def test_key_matters_and_rest_stays(spark):
+    docs = docs_frame(spark, [(1, TEXT, "a"), (1, TEXT, "a"), (2, None, None), (3, "", "a"), (4, "12 of 3.5 at Home " * 9000, "a")])
+    one = {(r.doc_id, r.text) for r in surrogate_documents(docs, "one").collect()}
+    two = {(r.doc_id, r.text) for r in surrogate_documents(docs, "two").collect()}
+    assert len(one) == 4 and one & two == {(2, None), (3, ""), (4, "12 of 3.5 at Home " * 9000)}
+    plain = lambda t: re.split(r"\S*\d\S*|\S*@\S*|[A-ZА-Я]\S+", t)
+    new = dict(one)[1]
+    assert plain(new)[0] == plain(TEXT)[0] and new.count("\n") == 1
+    out = with_surrogates(docs, "one")
+    assert out.select("doc.*").columns == docs.columns
+    assert surrogate_documents(docs.limit(0), "one").collect() == []
+
+
+def test_replacement_is_keyed(spark):
+    row = spark.range(1).select(replacement(F.lit("123-45-6789"), F.lit("ssn"), F.lit(0), "k").alias("a"))
+    assert re.fullmatch(r"\d{3}-\d{2}-\d{4}", row.first().a)
+    assert not re.search(ENTITY.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9").replace(r"\p{Lu}", "A-Z").replace(r"\p{Ll}", "a-z"), "no 12 entity 3.5")

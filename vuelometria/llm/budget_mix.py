@@ -5,8 +5,8 @@
    A target stops at ``most`` times the words of its source; the excess goes to the others by weight until none is above.
    That is one level ``l`` with target = min(most * size, l * weight), found by sorting the sources by size / weight.
 3. A source is taken whole as often as its target holds it. For the rest, an equal share of each size is taken, and what
-   the rounding leaves open is filled by a bounded knapsack: sums of one more document of a size are reached bit by bit
-   until the open words are met exactly, or as near below as they can be.
+   the rounding leaves open is filled by a bounded knapsack, dynamic programming over the sums that documents of the
+   other sizes can make, so that the open words are met exactly, or as near below as they can be.
 4. Which documents of a size are taken follows from a seeded hash: the lowest ranks. Ranks come from counts per range of
    hashes and a local order inside of a range, so that a size that holds a third of all documents is many tasks.
 
@@ -65,40 +65,53 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def fill(sizes: list[int], counts: list[int], words: int, knapsack_words: int) -> dict[int, int]:
-    """How many documents of each size to take for ``words`` words, no more than ``counts``; deterministic."""
-    total = sum(s * n for s, n in zip(sizes, counts))
-    words = min(words, total)
-    if words <= 0:
-        return {}
-    taken = {s: n * words // total for s, n in zip(sizes, counts) if s}
-    left = {s: n - taken[s] for s, n in zip(sizes, counts) if s}
-    open_words = words - sum(s * n for s, n in taken.items())
-    # from the longest size down, until little more than the budget of the knapsack is open
-    for s in sorted(left, reverse=True):
-        n = min(left[s], max(0, open_words - knapsack_words) // s)
-        taken[s] += n
-        left[s] -= n
-        open_words -= n * s
-    # bounded knapsack: bit b of ``reached`` says that a sum of b words can be made; steps are kept to walk back
-    mask = (1 << (open_words + 1)) - 1
+def _knapsack(left: dict[int, int], words: int) -> dict[int, int]:
+    """Counts of sizes, up to those of ``left``, whose sum is as near below ``words`` as any."""
+    # bit b of ``reached`` says that a sum of b words can be made; the steps are kept to walk back
+    mask = (1 << (words + 1)) - 1
     reached, steps = 1, []
-    for s in sorted(x for x in left if left[x] and x <= open_words):
-        n, lump = left[s], 1
-        while n and s * lump <= open_words:
+    for size in sorted(s for s, n in left.items() if n and s <= words):
+        n, lump = left[size], 1
+        while n and size * lump <= words:
             k = min(lump, n)
-            steps.append((s, k, reached))
-            reached |= (reached << (s * k)) & mask
+            steps.append((size, k, reached))
+            reached |= (reached << (size * k)) & mask
             n -= k
             lump *= 2
-        if reached >> open_words & 1:
+        if reached >> words & 1:
             break
-    best = reached.bit_length() - 1
-    for s, k, earlier in reversed(steps):
+    best, out = reached.bit_length() - 1, {}
+    for size, k, earlier in reversed(steps):
         if not earlier >> best & 1:
-            taken[s] += k
-            best -= s * k
-    return {s: n for s, n in taken.items() if n}
+            out[size] = out.get(size, 0) + k
+            best -= size * k
+    return out
+
+
+def fill(sizes: list[int], counts: list[int], words: int, knapsack_words: int) -> dict[int, int]:
+    """How many documents of each size to take for ``words`` words, no more than ``counts``; deterministic.
+
+    The equal share of each size is only given up, by quarters, where the sum cannot be met with it.
+    """
+    have = {s: n for s, n in zip(sizes, counts) if s}
+    total = sum(s * n for s, n in have.items())
+    words = min(words, total)
+    best: dict[int, int] = {}
+    for quarters in (4, 3, 2, 1, 0) if words > 0 else ():
+        taken = {s: n * words * quarters // (4 * total) for s, n in have.items()}
+        open_words = words - sum(s * n for s, n in taken.items())
+        # from the longest size down, until little more than the budget of the knapsack is open
+        for s in sorted(have, reverse=True):
+            n = min(have[s] - taken[s], max(0, open_words - knapsack_words) // s)
+            taken[s] += n
+            open_words -= n * s
+        for s, n in _knapsack({s: n - taken[s] for s, n in have.items()}, open_words).items():
+            taken[s] += n
+        if sum(s * n for s, n in taken.items()) > sum(s * n for s, n in best.items()):
+            best = taken
+        if sum(s * n for s, n in best.items()) == words:
+            break
+    return {s: n for s, n in best.items() if n}
 
 
 def _plan_udf(mix: Mix):
