@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, row_key, stored, whole_row, words
+from .common import WORD, lower_ascii, row_key, stored, whole_row, words
 from .components import connected_components
 
 SALTS = 16
@@ -90,16 +90,17 @@ def signature_udf(p: NearCopies):
     def signature(sets: pa.Array) -> pa.Array:
         values = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         sizes = sets.value_lengths().to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        full = np.flatnonzero(sizes)  # reduceat must not see empty sets
+        starts = (np.cumsum(sizes) - sizes)[full].astype(np.int64)
         n = len(sizes)
         low = _mix(values, 0xFF51AFD7ED558CCD).astype(np.uint32)
-        least = np.empty((n, p.samples), dtype=np.uint32)
+        least = np.zeros((n, p.samples), dtype=np.uint32)
         for i in range(p.samples):
             x = low * factors[i] + shifts[i]
             x ^= x >> np.uint32(15)
             x *= np.uint32(0x2C1B3C6D)
             x ^= x >> np.uint32(13)
-            least[:, i] = np.minimum.reduceat(x, starts)
+            least[full, i] = np.minimum.reduceat(x, starts) if len(full) else 0
         places = _mix(least.astype(np.uint64) + (np.arange(p.samples, dtype=np.uint64) << np.uint64(32)), 0xC4CEB9FE1A85EC53)
         parity = np.zeros((n, p.bits), dtype=np.uint8)
         every = np.arange(n)
@@ -112,10 +113,10 @@ def signature_udf(p: NearCopies):
             for i in range(b * p.rows, (b + 1) * p.rows):
                 key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + least[:, i], 0xBF58476D1CE4E5B9)
             keys[:, b] = key
-        halves = np.empty((n, 2), dtype=np.uint64)
-        halves[:, 0] = np.add.reduceat(_mix(values, 0x94D049BB133111EB), starts)
-        halves[:, 1] = np.add.reduceat(_mix(values, 0xD6E8FEB86659FD93), starts)
-        node = pa.array([x.tobytes() for x in halves], type=pa.binary())
+        halves = np.zeros((n, 2), dtype=np.uint64)
+        for i, odd in enumerate((0x94D049BB133111EB, 0xD6E8FEB86659FD93)):
+            halves[full, i] = np.add.reduceat(_mix(values, odd), starts) if len(full) else 0
+        node = pa.array([x.tobytes() if size else None for x, size in zip(halves, sizes)], type=pa.binary())
         return pa.StructArray.from_arrays([node, lists(sketch), lists(keys.view(np.int64))], ["node", "sketch", "bands"])
 
     return signature
@@ -126,17 +127,12 @@ def _documents(docs: DataFrame, text: str, id_col: str) -> DataFrame:
 
 
 def signatures(parts: DataFrame, p: NearCopies) -> DataFrame:
-    """One stored row per document (id, text): row key, set size, class key, sketch and bands; NULLs without shingles."""
+    """One stored row per document (id, text): row key, set size, class key (NULL without shingles), sketch and bands."""
     sized = parts.select(
         "id", *row_key(F.col("id"), F.col("text")), shingle_set(F.col("text"), p.shingle).alias("set")
     ).withColumn("n_shingles", F.size("set").cast("long"))
-    full = sized.where("n_shingles > 0").withColumn("s", signature_udf(p)("set"))
-    columns = ["id", "k1", "k2", "n_shingles"]
-    signed = full.select(*columns, "s.node", "s.sketch", "s.bands")
-    empty = sized.where("n_shingles = 0").select(
-        *columns, *[F.lit(None).cast(signed.schema[c].dataType).alias(c) for c in ("node", "sketch", "bands")]
-    )
-    return stored(signed.unionByName(empty), "signatures")
+    signed = sized.withColumn("s", signature_udf(p)("set"))
+    return stored(signed.select("id", "k1", "k2", "n_shingles", "s.node", "s.sketch", "s.bands"), "signatures")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, p: NearCopies) -> DataFrame:
@@ -239,14 +235,16 @@ def _rest_links(open_ones: DataFrame, classes: DataFrame, sets: DataFrame, p: Ne
     return dealt.groupBy("bucket", "x", "y").applyInPandas(_compare_udf(p), "a binary, b binary").distinct()
 
 
-def near_copy_components(docs: DataFrame, text: str, id_col: str, p: NearCopies = NearCopies()) -> DataFrame:
-    """One row per document: k1, k2 (row key), id, n_shingles and ``component``, a key that linked documents share."""
-    parts = _documents(docs, text, id_col)
+def class_components(parts: DataFrame, p: NearCopies) -> tuple[DataFrame, DataFrame]:
+    """Documents (id, k1, k2, n_shingles, node), and classes (node, root, first); first is that of the whole component.
+
+    ``first`` has the smallest id (NULL last) and the row key of its document. Documents without shingles have no node.
+    """
     signed = signatures(parts, p)
     classes = stored(
         signed.where("node is not null")
         .groupBy("node", "n_shingles", "sketch", "bands")
-        .agg(F.min(F.struct("id", "k1", "k2")).alias("first"), F.count("*").alias("copies")),
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")).alias("first"), F.count("*").alias("copies")),
         "classes",
     )
     # classes that share no bucket with any other are done; the others go on as (bucket, node)
@@ -278,18 +276,21 @@ def near_copy_components(docs: DataFrame, text: str, id_col: str, p: NearCopies
         if not rest.isEmpty():
             spanning = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = stored(connected_components(spanning.unionByName(rest)), "roots")
-    return signed.join(roots, "node", "left").select(
-        "k1", "k2", "id", "n_shingles", F.coalesce("root", "node").alias("component")
-    )
+    rooted = classes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    best = stored(rooted.groupBy("root").agg(F.min("first").alias("best")), "components")
+    labels = rooted.drop("first").join(best.withColumnRenamed("root", "of_root"), F.col("root") == F.col("of_root"))
+    return signed, stored(labels.select("node", "root", F.col("best").alias("first")), "labels")
 
 
 def near_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", p: NearCopies = NearCopies()) -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id (smallest id that can be reached) and kept."""
-    rows = near_copy_components(docs, text, id_col, p)
-    least = rows.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"))
-    linked = rows.join(least, "component", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    return linked.select(
-        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    signed, labels = class_components(_documents(docs, text, id_col), p)
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("first.id"))
+    return signed.join(labels, "node", "left").select(
+        F.col("id").alias(id_col),
+        "n_shingles",
+        component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"),
     )
 
 
@@ -298,17 +299,15 @@ def without_near_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_
 
     Documents without shingles are no copies of each other and all stay.
     """
-    rows = near_copy_components(docs, text, id_col, p)
-    best = F.min(F.struct(F.col("id").isNull(), "id", "k1", "k2")).alias("best")
-    winners = (
-        rows.where("component is not null").groupBy("component").agg(best).select(F.col("best.k1").alias("w1"), F.col("best.k2").alias("w2"))
-    )
+    _, labels = class_components(_documents(docs, text, id_col), p)
+    winners = labels.select(F.col("first.k1").alias("w1"), F.col("first.k2").alias("w2")).distinct()
     keyed = docs.select(
-        whole_row(docs).alias("doc"), *row_key(docs[id_col], docs[text]), F.size(words(docs[text])).alias("n")
+        whole_row(docs).alias("doc"), *row_key(docs[id_col], docs[text]), docs[text].rlike(WORD).alias("has_words")
     )
     one = (
-        keyed.where("n > 0")
+        keyed.where("has_words")
         .join(winners, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")))
         .dropDuplicates(["k1", "k2"])
     )
-    return one.select("doc.*").unionByName(keyed.where("n = 0").select("doc.*"))
+    empty = keyed.where(~F.coalesce("has_words", F.lit(False)))
+    return one.select("doc.*").unionByName(empty.select("doc.*"))
