@@ -46,8 +46,8 @@ class Templates:
     broadcast_rows: int = 2_000_000
 
 
-def template_tokens(text: Column, names: bool = True) -> Column:
-    """Lower-case tokens; those of slots start with their marker, followed by the value."""
+def marked_text(text: Column, names: bool = True) -> Column:
+    """Lower-case text with a marker before the value of each slot."""
     raw = F.coalesce(text, F.lit(""))
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     joined = F.regexp_replace(raw, r"(?<=\d)[.,:/](?=\d)", INSIDE)
@@ -55,41 +55,59 @@ def template_tokens(text: Column, names: bool = True) -> Column:
         joined, rf"(?<![\p{{L}}\d{INSIDE}])(\d[\d{INSIDE}]*)(?: ?((?i:{units})|%)(?![\p{{L}}\d]))?", f" {NUMBER}$1 {UNIT}$2 "
     )
     marked = F.when(raw.rlike(r"\d"), numbers).otherwise(raw)
-    named = F.regexp_replace(marked, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", NAME) if names else marked
-    parts = F.split(F.lower(named), rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}-{INSIDE}]+")
-    return F.filter(parts, lambda t: t != "")
+    # the blank comes first in the pattern, so that only blanks are looked at twice
+    return F.lower(F.regexp_replace(marked, r" (?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", " " + NAME) if names else marked)
 
 
-def _is_slot(token: Column) -> Column:
-    return token < INSIDE
+def _split(marked: Column) -> Column:
+    return F.split(marked, rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}-{INSIDE}]+")
 
 
-def _template(tokens: Column) -> Column:
-    """A hash for each token, that of the marker for slots."""
-    return F.transform(tokens, lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
+def _full(parts: Column) -> Column:
+    """Without the empty parts, which are at the ends only."""
+    start = F.when(F.get(parts, F.lit(0)) == "", 2).otherwise(1)
+    n = F.size(parts) - start + 1 - F.when(F.get(parts, F.size(parts) - 1) == "", 1).otherwise(0)
+    return F.slice(parts, start, F.greatest(n, F.lit(0)))
+
+
+def template_tokens(text: Column, names: bool = True) -> Column:
+    """Lower-case tokens; those of slots start with their marker, followed by the value."""
+    return F.get(F.transform(F.array(_split(marked_text(text, names))), _full), F.lit(0))
+
+
+def _is_slot(token: Column) -> Column:
+    return token < INSIDE
 
 
 def windows(texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, names: bool = True) -> DataFrame:
     """One row per window of ``text``: the columns ``keep``, pos, hash and the slots of the window in order."""
     w = p.window
-    tokens = texts.withColumn("tokens", template_tokens(F.col("text"), names)).withColumn("codes", _template(F.col("tokens")))
+    marked = texts.withColumn("marked", marked_text(F.col("text"), names))
+    slotted = F.col("marked").contains(NAME) | F.col("marked").contains(NUMBER)
+    parts = marked.withColumns({"parts": _split(F.col("marked")), "slotted": slotted})
+    tokens = parts.withColumn("tokens", _full(F.col("parts")))
+    # a hash for each token, that of the marker for slots
+    template = F.transform("tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
+    plain_codes = F.transform("tokens", lambda t: F.xxhash64(t))
+    coded = tokens.withColumn("codes", F.when(F.col("slotted"), template).otherwise(plain_codes))
     codes = F.col("codes")
     n = F.size(codes)
     runs = F.when(
         n >= w, F.transform(F.sequence(F.lit(0), n - w), lambda i: F.xxhash64(*[F.get(codes, i + k) for k in range(w)]))
     ).when(n > 0, F.array(F.xxhash64(codes)))
-    slotted = F.exists("tokens", _is_slot)
     found = F.transform(
         F.sequence(F.lit(1), F.greatest(n - w + 1, F.lit(1))), lambda i: F.filter(F.slice("tokens", i, w), _is_slot)
     )
-    nothing = F.array().cast("array<array<string>>")
-    dealt = tokens.withColumns({"runs": runs, "slots": F.when(slotted & (n > 0), found).otherwise(nothing), "n_tokens": n})
-    # the slots travel with their window: (hash, slots) for texts that have slots, the bare hash for others
-    zipped = F.transform("runs", lambda h, i: F.struct(h.alias("hash"), F.get("slots", i).alias("slots")))
+    dealt = coded.withColumns({"runs": runs, "slots": F.when(F.col("slotted") & (n > 0), found), "n_tokens": n})
+    # the slots travel with their window; texts without slots have none to look up
+    zipped = F.when(
+        F.col("slotted"), F.transform("runs", lambda h, i: F.struct(h.alias("hash"), F.get("slots", i).alias("slots")))
+    ).otherwise(F.transform("runs", lambda h: F.struct(h.alias("hash"), F.lit(None).cast("array<string>").alias("slots"))))
     rows = dealt.select(*keep, "n_tokens", F.posexplode(zipped).alias("pos", "x"))
-    out = rows.select(*keep, "n_tokens", "pos", "x.hash", F.coalesce("x.slots", F.array().cast("array<string>")).alias("slots"))
+    none = F.array().cast("array<string>")
     if not benchmark:
-        return out.drop("n_tokens")
+        return rows.select(*keep, "pos", "x.hash", "x.slots")
+    out = rows.select(*keep, "n_tokens", "pos", "x.hash", F.coalesce("x.slots", none).alias("slots"))
     plain = F.least("n_tokens", F.lit(w)) - F.size("slots")
     return out.where(plain >= F.least(F.lit(p.literals), F.col("n_tokens")))
 
@@ -107,7 +125,11 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
     if theirs.count() <= p.broadcast_rows:
         side = F.broadcast(side)
     ours = windows(docs.select(*row_key(F.col("id"), F.col("text")), "text"), ["k1", "k2"], p, False)
-    hits = ours.join(side, F.col("hash") == F.col("item_hash")).where(F.size("slots") == F.size("item_slots"))
+    hits = (
+        ours.join(side, F.col("hash") == F.col("item_hash"))
+        .withColumn("slots", F.coalesce("slots", F.array().cast("array<string>")))
+        .where(F.size("slots") == F.size("item_slots"))
+    )
     # one row per item window and alignment, so a group is never longer than its item
     aligned = (
         hits.groupBy("k1", "k2", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos")
