@@ -93,6 +93,69 @@ def test_torn_document_fails_or_is_skipped(spark, tmp_path):
     assert raw.explode_data(raw.read_flights_raw(spark, path, broken="skip")).count() == 1
 
 
+TORN = {
+    "flights": ('{"data": [{"flight_date": "2026', '{"data": [{"flight_date": "2026-04-01"}'),
+    "weather": ('{"location": ', '[{"location": {"name": "Cali"}}, {"location": {"name": "Cali"}}'),
+    "delays": ('[{"userId": 1, "ti', '[{"userId": 1, "id": 2, "title": "x"}'),
+}
+GOOD = {"flights": {"data": [FLIGHT]}, "weather": WEATHER, "delays": [INCIDENT]}
+KEYS = {"flights": "flight_number", "weather": "city", "delays": "incident_title"}
+
+
+@pytest.mark.parametrize("feed", list(TORN))
+@pytest.mark.parametrize("where", ["middle", "end", "empty"])
+def test_torn_pull_of_every_feed(spark, tmp_path, feed, where):
+    put(tmp_path, feed, f"{feed}_2026-04-01_17-00-00.json", GOOD[feed])
+    put(tmp_path, feed, f"{feed}_2026-04-02_17-00-00.json", {"middle": TORN[feed][0], "end": TORN[feed][1], "empty": ""}[where])
+    paths = paths_of(tmp_path, feed)
+    documents = raw.read_raw(spark, feed, paths.raw)
+    known = raw.flatten(feed, documents).where(F.col(KEYS[feed]).isNotNull())
+    if where == "empty":  # a file without content has no document
+        assert known.count() == 1 and ingest_incremental(spark, feed, paths) == 1
+        return
+    for _ in range(2):
+        with pytest.raises(Exception, match="not a JSON document"):
+            known.collect()
+        with pytest.raises(Exception, match="not a JSON document"):
+            ingest_incremental(spark, feed, paths)
+    put(tmp_path, feed, f"{feed}_2026-04-02_17-00-00.json", GOOD[feed])
+    assert ingest_incremental(spark, feed, paths) == 2
+    assert tables.read_processed(spark, paths.processed, feed).count() == 2
+    assert ingest_incremental(spark, feed, paths) == 0
+
+
+def test_quarantine_takes_bad_documents_and_lets_good_ones_land(spark, tmp_path):
+    where = [str(tmp_path / d) for d in ("raw", "out", "ck", "aside")]
+    put(tmp_path, "delays", "delays_2026-04-01_17-00-00.json", [INCIDENT] * 3)
+    put(tmp_path, "delays", "delays_2026-04-02_17-00-00.json", TORN["delays"][0])
+    paths = {"delays": FeedPaths.below("delays", *where)}
+    (report,) = run_feeds(spark, paths)
+    assert (report.rows, report.quarantined, report.error) == (3, 1, None)
+    put(tmp_path, "delays", "delays_2026-04-03_17-00-00.json", [INCIDENT])
+    (report,) = run_feeds(spark, paths)
+    assert (report.rows, report.quarantined) == (1, 0)
+    aside = spark.read.parquet(f"{where[3]}/delays").collect()
+    assert len(aside) == 1 and aside[0]["document"] == TORN["delays"][0] and aside[0]["file_path"].endswith("02_17-00-00.json")
+
+
+def test_a_batch_that_died_after_its_write_is_not_doubled(spark, tmp_path):
+    paths = paths_of(tmp_path, "delays")
+    put(tmp_path, "delays", "delays_2026-04-01_17-00-00.json", [INCIDENT] * 3)
+    assert ingest_incremental(spark, "delays", paths) == 3
+    # rows of a batch writer stay, and the commit of the batch is taken back as if the run had died before it
+    tables.write_partitioned(tables.read_processed(spark, paths.processed, "delays").limit(2), paths.processed, "report_date")
+    for commit in (tmp_path / "ck/delays/commits").glob("*0*"):
+        commit.unlink()
+    assert ingest_incremental(spark, "delays", paths) == 3
+    assert tables.read_processed(spark, paths.processed, "delays").count() == 5
+
+
+def test_ids_of_64_bits(spark, tmp_path):
+    put(tmp_path, "delays", "d.json", [{"userId": 2**40, "id": 2**60}, {"userId": "7", "id": 8.0}, {"userId": "x", "id": None}])
+    rows = raw.flatten_delays(raw.read_delays_raw(spark, str(tmp_path / "raw/delays"))).select("user_id", "incident_id").collect()
+    assert [tuple(r) for r in rows] == [(2**40, 2**60), (7, 8), (None, None)]
+
+
 def paths_of(tmp_path, feed):
     return FeedPaths.below(feed, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"))
 

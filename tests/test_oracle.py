@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from vuelometria.checks import ORACLES, QUERIES
 from vuelometria.checks.compare import connect, differences
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(folder):
@@ -17,6 +16,7 @@ def duck(folder):
 
 def test_every_query_has_a_counterpart():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("key", list(QUERIES))

@@ -74,7 +74,7 @@ def _delays_table(t: BoundTables) -> tuple[str, DataFrame]:
     return path, flat
 
 
-_DELAY_COLUMNS = "report_date, incident_id::int as incident_id, user_id::int as user_id, incident_title, is_resolved"
+_DELAY_COLUMNS = "report_date, incident_id, user_id, incident_title, is_resolved"
 
 register(
     "a4_partitioned_sink",
@@ -85,10 +85,8 @@ register(
 )
 register(
     "a5_processed",
-    lambda t: tables.read_processed(t.spark, _delays_table(t)[0], "delays")
-    .where(F.col("report_date") >= F.lit(HALF).cast("date"))
-    .drop("ingested_at"),
-    f"select {_DELAY_COLUMNS} from delays where report_date >= date '{HALF}'",
+    lambda t: tables.read_processed(t.spark, _delays_table(t)[0], "delays").drop("ingested_at"),
+    f"select {_DELAY_COLUMNS} from delays",
 )
 
 
@@ -97,8 +95,7 @@ def _registered(t: BoundTables) -> DataFrame:
     path = scratch_dir(t.spark, "delays")
     database = f"vuelos_{uuid.uuid4().hex[:12]}"
     first = t.delays.select(
-        F.col("user_id").cast("int").alias("user_id"), F.col("incident_id").cast("int").alias("incident_id"),
-        "incident_title", "is_resolved", F.lit(STAMP).cast("timestamp").alias("ingested_at"), "report_date",
+        "user_id", "incident_id", "incident_title", "is_resolved", F.lit(STAMP).cast("timestamp").alias("ingested_at"), "report_date",
     )
     late = F.col("report_date") >= F.lit(HALF).cast("date")
     tables.write_partitioned(first.where(~late), path, "report_date")
@@ -224,6 +221,71 @@ register(
 )
 
 
+def _torn(t: BoundTables, feed: str, path: str) -> None:
+    """Pulls of a feed that break off in the middle of a record, a file per task."""
+    head = '{"data": [{"flight_date": "' if feed == "flights" else '[{"title": "'
+    t.delays.select(F.concat(F.lit(head), F.col("report_date").cast("string")).alias("value")).distinct().write.text(path)
+
+
+def _a13_torn(t: BoundTables) -> DataFrame:
+    """The feed with the array payload is broken: it says so and adds nothing, and the others are complete."""
+    base = [scratch_dir(t.spark, x) for x in ("raw", "out", "ck")]
+    paths = {feed: FeedPaths.below(feed, *base) for feed in ("flights", "weather", "delays")}
+    _torn(t, "flights", paths["flights"].raw)
+    for feed in ("weather", "delays"):
+        land_feed(t, feed, paths[feed].raw)
+    try:
+        reports = run_feeds(t.spark, paths, ts=STAMP)
+    except FeedError as failed:
+        reports = failed.reports
+    flights, weather, delays = (next(r for r in reports if r.feed == f) for f in paths)
+    return tables.read_processed(t.spark, paths["delays"].processed, "delays").groupBy("is_resolved").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(flights.error is not None).alias("vuelos_rotos"),
+        F.lit(flights.rows).cast("bigint").alias("vuelos"),
+        F.lit(weather.rows).cast("bigint").alias("climas"),
+        F.lit(delays.rows).cast("bigint").alias("incidentes"),
+    )
+
+
+register(
+    "a13_torn_flights",
+    _a13_torn,
+    """select is_resolved, count(*) as n, true as vuelos_rotos, 0::bigint as vuelos,
+         (select count(*) from weather) as climas, (select count(*) from delays) as incidentes from delays group by 1""",
+)
+
+
+def _a13_quarantine(t: BoundTables) -> DataFrame:
+    """Torn documents go aside, the good pulls land, then a batch job and the catalog use the same table."""
+    base = [scratch_dir(t.spark, x) for x in ("raw", "out", "ck", "aside")]
+    paths = FeedPaths.below("delays", *base)
+    late = F.col("report_date") >= F.lit(HALF).cast("date")
+    land_feed(t, "delays", paths.raw, ~late)
+    _torn(t, "delays", f"{paths.raw}/torn")
+    report = run_feeds(t.spark, {"delays": paths}, ts=STAMP)[0]
+    aside = t.spark.read.parquet(paths.quarantine).count()
+    # a batch writer adds the other half to the table of the stream
+    flat = t.delays.where(late).withColumn("ingested_at", F.lit(STAMP).cast("timestamp"))
+    tables.write_partitioned(flat, paths.processed, "report_date")
+    database = f"vuelos_{uuid.uuid4().hex[:12]}"
+    tables.ensure_database(t.spark, database, scratch_dir(t.spark, "db"))
+    name = tables.register_table(t.spark, database, "delays", paths.processed, "delays")
+    return t.spark.table(name).groupBy("report_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(report.rows).cast("bigint").alias("ingeridas"),
+        F.lit(report.quarantined == aside and aside > 0).alias("apartadas"),
+    )
+
+
+register(
+    "a13_quarantine",
+    _a13_quarantine,
+    f"""select report_date, count(*) as n, (select count(*) from delays where report_date < date '{HALF}') as ingeridas,
+          true as apartadas from delays group by 1""",
+)
+
+
 def _a14(t: BoundTables) -> DataFrame:
     counts = feed_counts()
     path = scratch_dir(t.spark, "delays")

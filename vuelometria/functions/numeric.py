@@ -24,7 +24,10 @@ def round_n(col: ColumnOrName, digits: int) -> Column:
     The detour over six decimals removes the last-bit noise of a distributed sum, so a value
     that is a tie on paper (62.35) always goes the same way.
     """
-    return F.round(as_column(col).cast("decimal(18,6)"), digits).cast("double")
+    value = as_column(col)
+    exact = F.round(value.try_cast("decimal(38,6)"), digits).cast("double")
+    # 10^32 and more leaves no room for six decimals, and needs none
+    return F.coalesce(exact, F.round(value.cast("double"), digits))
 
 
 def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:

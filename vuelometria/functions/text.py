@@ -42,12 +42,12 @@ def classify_text(col: ColumnOrName, rules: Sequence[tuple[str, str]], default:
 
 def fmt_decimals(col: ColumnOrName, digits: int) -> Column:
     """Fixed number of decimals, half-up, no thousands separator; NULL stays NULL."""
-    return F.round(as_column(col).cast("decimal(18,6)"), digits).cast("string")
+    return F.round(as_column(col).cast("decimal(38,6)"), digits).cast("string")
 
 
 def fmt_thousands(col: ColumnOrName) -> Column:
     """Whole number with ``,`` between thousands."""
-    return F.format_number(F.round(as_column(col).cast("decimal(18,6)"), 0), 0)
+    return F.format_number(F.round(as_column(col).cast("decimal(38,6)"), 0), 0)
 
 
 def fmt_date(col: ColumnOrName, pattern: str = "dd/MM/yyyy") -> Column:

@@ -10,12 +10,16 @@ from pyspark.sql.types import DoubleType, FloatType
 def _comparable(df: DataFrame, measure: str) -> Column:
     """Doubles are compared at six decimals: a tie must not hang on the order of a distributed sum."""
     if isinstance(df.schema[measure].dataType, (DoubleType, FloatType)):
-        return F.col(measure).cast("decimal(18,6)")
+        return F.round(measure, 6)
     return F.col(measure)
 
 
-def top_with_ties(df: DataFrame, measure: str, n: int, ascending: bool = False) -> DataFrame:
-    """The rows whose ``measure`` is not worse than the n-th best one. NULL measures drop out.
+def top_with_ties(
+    df: DataFrame, measure: str, n: int, ascending: bool = False, keep_null: bool = False
+) -> DataFrame:
+    """The rows whose ``measure`` is not worse than the n-th best one; doubles that agree to six decimals tie.
+
+    NULL measures drop out, or with ``keep_null`` come after all others and tie with each other.
 
     The n-th value is a scalar subquery over ``orderBy().limit(n)``; the rows stay where they
     are and only get filtered, so any number of ties is fine. The subquery carries all columns
@@ -29,11 +33,14 @@ def top_with_ties(df: DataFrame, measure: str, n: int, ascending: bool = False)
         df.where(value.isNotNull())
         .orderBy(best)
         .limit(n)
-        .agg(pick(F.struct(value.alias("__bound"), *rest)).alias("__edge"))
-        .select(F.col("__edge").getField("__bound"))
+        .agg(pick(F.struct(value.alias("__bound"), *rest)).alias("__edge"), F.count(F.lit(1)).alias("__n"))
+        .select(F.struct(F.col("__edge").getField("__bound").alias("bound"), F.col("__n").alias("n")))
         .scalar()
     )
-    return df.where(value <= bound if ascending else value >= bound)
+    good = value <= bound.getField("bound") if ascending else value >= bound.getField("bound")
+    if keep_null:
+        good = good | (value.isNull() & (bound.getField("n") < n))
+    return df.where(good)
 
 
 def latest_with_ties(df: DataFrame, measure: str, n: int) -> DataFrame:

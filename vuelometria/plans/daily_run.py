@@ -143,14 +143,17 @@ def run_daily(
     since: datetime | None = None,
     city: str | None = None,
     cities: DataFrame | None = None,
+    quarantine: str | None = None,
 ) -> RunReport:
     """Ingests all feeds and refreshes the models.
 
+    With ``quarantine`` documents that are no JSON go there, else they fail their feed.
+
     ``since`` is the ``started_at`` of the last successful run; without it everything is
     computed anew. Every step can be repeated. A broken feed is raised after the rest is done.
     """
     report = RunReport(started_at=datetime.now(timezone.utc))
-    paths = {feed: FeedPaths.below(feed, raw, processed, checkpoint) for feed in FEEDS}
+    paths = {feed: FeedPaths.below(feed, raw, processed, checkpoint, quarantine) for feed in FEEDS}
     failure: FeedError | None = None
     try:
         report.feeds = run_feeds(spark, paths, as_of)

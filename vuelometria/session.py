@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,7 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 
@@ -36,13 +33,13 @@ def build_session(app: str = "vuelometria", master: str | None = None, **conf: s
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder the session names in ``spark.checkpoint.dir``.
 
-    Executors on other machines must see the files, so a machine-local folder is only
-    taken when the whole session lives in one process.
+    Executors on other machines must see the files. Where the setting is missing, a session in one process takes
+    a folder beside its warehouse, and any other refuses.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"{label}-{uuid.uuid4().hex}"
-    if shared:
-        return f"{shared.rstrip('/')}/{name}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return os.path.join(tempfile.mkdtemp(prefix="vuelometria-"), name)
+    if not shared:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

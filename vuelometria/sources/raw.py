@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from .schemas import CORRUPT, RAW
 
+#: Column with the file of a document, where it was taken from the file metadata already.
+FILE = "file_path"
+
 #: A pull is a file, or a directory with its files, named <feed>_YYYY-MM-DD_HH-MM-SS.
 PULL_DATE = r"_(\d{4}-\d{2}-\d{2})_\d{2}-\d{2}-\d{2}[^/]*(?:/[^/]*)?$"
 
@@ -21,21 +24,32 @@ RAW_OPTIONS = {
 }
 
 
+def unreadable(documents: DataFrame) -> Column:
+    """Whether nothing of a document could be read. A single value of the wrong kind is NULL and no reason."""
+    gone = F.col(CORRUPT).isNotNull()
+    for field in documents.columns:
+        if field not in (CORRUPT, FILE):
+            gone = gone & F.col(field).isNull()
+    return gone
+
+
 def intact(feed: str, documents: DataFrame, broken: str = "fail") -> DataFrame:
     """Documents of which nothing could be read fail the feed, or are left out with ``broken="skip"``.
 
-    A single value of the wrong kind is no reason to fail: it is NULL already.
+    The error sits in the values themselves, not in a filter: a filter would come after those that Spark derives
+    from an ``explode`` or that a consumer adds, and these drop a document without values before it is looked at.
+    A file without any content has no document and gives no rows.
     """
-    fields = [c for c in documents.columns if c != CORRUPT]
-    unreadable = F.col(CORRUPT).isNotNull()
-    for field in fields:
-        unreadable = unreadable & F.col(field).isNull()
-    if broken == "fail":
-        text = F.concat(F.lit(f"{feed}: not a JSON document: "), F.substring(CORRUPT, 1, 200))
-        keep = F.when(unreadable, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
-    else:
-        keep = ~unreadable
-    return documents.where(keep)
+    gone = unreadable(documents)
+    if broken != "fail":
+        return documents.where(~gone)
+    text = F.concat(F.lit(f"{feed}: not a JSON document: "), F.substring(CORRUPT, 1, 200))
+    guarded = {
+        field.name: F.when(gone, F.raise_error(text).cast(field.dataType)).otherwise(F.col(field.name))
+        for field in documents.schema
+        if field.name not in (CORRUPT, FILE)
+    }
+    return documents.withColumns(guarded)
 
 
 def read_raw(spark: SparkSession, feed: str, path: str, broken: str = "fail") -> DataFrame:
@@ -72,6 +86,11 @@ def _int(path: str) -> Column:
     return F.col(path).try_cast("int")
 
 
+def _id(path: str) -> Column:
+    """A whole number of 64 bits, also where a pull writes it as text or with decimals."""
+    return F.coalesce(F.col(path).try_cast("bigint"), F.col(path).try_cast("decimal(38,6)").try_cast("bigint"))
+
+
 def flatten_flights(raw: DataFrame, ts: datetime | str | None = None) -> DataFrame:
     flat = explode_data(raw).select(
         F.col("f.flight_date").try_cast("date").alias("flight_date"),
@@ -119,10 +138,11 @@ def flatten_delays(raw: DataFrame, as_of: date | str | None = None, ts: datetime
     The name keeps a re-run from stamping old incidents with a new date.
     """
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    pulled = F.regexp_extract(F.col("_metadata.file_path"), PULL_DATE, 1).try_cast("date")
+    file = F.col(FILE) if FILE in raw.columns else F.col("_metadata.file_path")
+    pulled = F.regexp_extract(file, PULL_DATE, 1).try_cast("date")
     flat = raw.select(
-        _int("userId").alias("user_id"),
-        _int("id").alias("incident_id"),
+        _id("userId").alias("user_id"),
+        _id("id").alias("incident_id"),
         F.col("title").alias("incident_title"),
         F.col("completed").alias("is_resolved"),
         F.coalesce(pulled, today).alias("report_date"),

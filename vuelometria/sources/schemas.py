@@ -4,7 +4,8 @@ from __future__ import annotations
 
 CORRUPT = "_corrupt_record"
 
-# Numbers are read as double, whichever way a pull writes them, and cast afterwards. A value of
+# Numbers are read as double, whichever way a pull writes them, and cast afterwards; ids are read
+# as text, because a double rounds them beyond 2^53. A value of
 # the wrong kind becomes NULL and its record is kept; CORRUPT then holds the text of the document.
 RAW = {
     "flights": f"""
@@ -21,7 +22,7 @@ RAW = {
             pressure_mb double, precip_mm double, cloud double, vis_km double,
             condition struct<text string>, chance_of_rain double>,
         {CORRUPT} string""",
-    "delays": f"userId double, id double, title string, completed boolean, {CORRUPT} string",
+    "delays": f"userId string, id string, title string, completed boolean, {CORRUPT} string",
 }
 
 #: Partition column of every processed table.
@@ -39,7 +40,7 @@ PROCESSED = {
         precip_mm double, cloud_coverage int, visibility_km double, condition string, chance_of_rain int,
         ingested_at timestamp, weather_date date""",
     "delays": """
-        user_id int, incident_id int, incident_title string, is_resolved boolean,
+        user_id bigint, incident_id bigint, incident_title string, is_resolved boolean,
         ingested_at timestamp, report_date date""",
 }
 

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from .schemas import PARTITION, PROCESSED, STAR_CSV
 
 
+#: Column of ingested rows with the name of their batch. It is in the files, not in the schema of a table.
+BATCH = "_batch"
+
+
 def balanced(df: DataFrame, by: str) -> DataFrame:
     """Rows of one partition value close together, without one task per value.
 

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.raw import RAW_OPTIONS, flatten, intact
-from ..sources.schemas import PARTITION, RAW
-from ..sources.tables import balanced
+from ..session import scratch_dir
+from ..sources.raw import FILE, RAW_OPTIONS, flatten, intact, unreadable
+from ..sources.schemas import CORRUPT, PARTITION, RAW
+from ..sources.tables import BATCH, write_partitioned
 
 FEEDS = ("flights", "weather", "delays")
 
@@ -22,6 +24,8 @@ class FeedReport:
     feed: str
     rows: int
     error: str | None = None
+    #: documents of which nothing could be read, put aside
+    quarantined: int = 0
 
 
 class FeedError(RuntimeError):
@@ -37,10 +41,65 @@ class FeedPaths:
     raw: str
     processed: str
     checkpoint: str
+    #: where documents go that are no JSON; they fail the feed if there is no such place
+    quarantine: str | None = None
 
     @classmethod
-    def below(cls, feed: str, raw: str, processed: str, checkpoint: str) -> FeedPaths:
-        return cls(f"{raw}/{feed}", f"{processed}/{feed}", f"{checkpoint}/{feed}")
+    def below(cls, feed: str, raw: str, processed: str, checkpoint: str, quarantine: str | None = None) -> FeedPaths:
+        aside = f"{quarantine}/{feed}" if quarantine else None
+        return cls(f"{raw}/{feed}", f"{processed}/{feed}", f"{checkpoint}/{feed}", aside)
+
+
+@dataclass
+class FeedRun:
+    """A catch-up run; the counts grow with its batches."""
+
+    query: StreamingQuery | None = None
+    rows: dict[int, int] = field(default_factory=dict)
+    quarantined: dict[int, int] = field(default_factory=dict)
+
+    def finish(self) -> None:
+        self.query.awaitTermination()
+
+    def report(self, feed: str, error: str | None = None) -> FeedReport:
+        return FeedReport(feed, sum(self.rows.values()), error, sum(self.quarantined.values()))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("n bigint").parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return False
+    return True
+
+
+def _append_once(df: DataFrame, path: str, by: str, ledger: str, batch: str, balance: bool) -> int:
+    """Appends a batch exactly once, also when an earlier attempt died half-way.
+
+    A note in the ledger precedes the write. If it is there already, rows of the earlier attempt may be in the table:
+    the dates of the batch are then written anew from the other rows and the batch. Returns the number of rows.
+    """
+    spark, note = df.sparkSession, f"{ledger}/{batch}"
+    seen = Observation()
+    rows = df.withColumn(BATCH, F.lit(batch)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    if not _exists(spark, note):
+        spark.range(1).select(F.col("id").alias("n")).write.mode("overwrite").parquet(note)
+        write_partitioned(rows, path, by, balance=balance)
+        return seen.get["rows"]
+    fresh = scratch_dir(spark, "retry")
+    rows.write.parquet(fresh)
+    again = spark.read.schema(rows.schema).parquet(fresh)
+    if _exists(spark, path):
+        table = spark.read.schema(rows.schema).parquet(path)
+        others = table.join(again.select(by).distinct().withColumnRenamed(by, "__d"), F.col(by).eqNullSafe(F.col("__d")), "left_semi")
+        others = others.where(~F.col(BATCH).eqNullSafe(F.lit(batch)))
+        kept = scratch_dir(spark, "retry")
+        others.write.parquet(kept)
+        again = again.unionByName(spark.read.schema(rows.schema).parquet(kept))
+    write_partitioned(again, path, by, mode="overwrite", balance=balance)
+    return seen.get["rows"]
 
 
 def start_feed(
@@ -52,39 +111,42 @@ def start_feed(
     balance: bool = True,
     files_per_batch: int | None = 100_000,
     archive: str | None = None,
-) -> StreamingQuery:
+) -> FeedRun:
     """Starts one catch-up run over the files that no earlier run has taken.
 
-    The checkpoint remembers the files and the sink log the committed batches, so a run that
-    died is repeated without double rows. Pulls are small and many; with ``balance`` the parsed
-    rows are gathered by date before they are written (a large date by several tasks), so a
-    date gets few files. A backfill of pulls in date order does without that shuffle. With
-    ``archive`` the files of finished batches move there, which keeps the listing short.
+    The checkpoint remembers the files, and every batch is appended exactly once to a plain partitioned table, which
+    batch writers may append to as well. Pulls are small and many; with ``balance`` the parsed rows are gathered by date
+    before they are written (a large date by several tasks), so a date gets few files. A backfill of pulls in date order
+    does without that shuffle. With ``archive`` the files of finished batches move there, which keeps the listing short.
+
+    A document that is no JSON fails the feed, and its batch is taken again by the next run. With ``paths.quarantine``
+    such documents go there with the name of their file, and the others land.
     """
     reader = spark.readStream.schema(RAW[feed]).options(**RAW_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    documents = intact(feed, reader.json(paths.raw))
-    flat = flatten(feed, documents, as_of, ts)
-    if balance:
-        flat = balanced(flat, PARTITION[feed])
-    rows = flat.observe("feed", F.count(F.lit(1)).alias("rows"))
-    return (
-        rows.writeStream.format("parquet")
-        .option("path", paths.processed)
-        .option("checkpointLocation", paths.checkpoint)
-        .partitionBy(PARTITION[feed])
-        .trigger(availableNow=True)
-        .start()
+    documents = reader.json(paths.raw).withColumn(FILE, F.col("_metadata.file_path"))
+    run = FeedRun()
+
+    def take(batch: DataFrame, number: int) -> None:
+        if paths.quarantine is None:
+            good = intact(feed, batch)
+        else:
+            good = intact(feed, batch, "skip")
+            broken = batch.where(unreadable(batch)).select(FILE, F.col(CORRUPT).alias("document"))
+            seen = Observation()
+            broken.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{paths.quarantine}/batch={number}")
+            run.quarantined[number] = seen.get["n"]
+        flat = flatten(feed, good, as_of, ts)
+        ledger = f"{paths.checkpoint}/ledger"
+        run.rows[number] = _append_once(flat, paths.processed, PARTITION[feed], ledger, f"batch-{number}", balance)
+
+    run.query = (
+        documents.writeStream.foreachBatch(take).option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start()
     )
-
-
-def rows_added(query: StreamingQuery) -> int:
-    """Rows a finished run has written, from the observed metrics of its batches."""
-    batches = {p.batchId: p.observedMetrics for p in query.recentProgress if "feed" in p.observedMetrics}
-    return sum(metrics["feed"]["rows"] for metrics in batches.values())
+    return run
 
 
 def ingest_incremental(
@@ -96,9 +158,9 @@ def ingest_incremental(
     balance: bool = True,
 ) -> int:
     """Takes the new files of one feed; returns the number of rows added."""
-    query = start_feed(spark, feed, paths, as_of, ts, balance)
-    query.awaitTermination()
-    return rows_added(query)
+    run = start_feed(spark, feed, paths, as_of, ts, balance)
+    run.finish()
+    return run.report(feed).rows
 
 
 def run_feeds(
@@ -109,22 +171,22 @@ def run_feeds(
     balance: bool = True,
 ) -> list[FeedReport]:
     """Runs all feeds side by side. A broken feed does not stop the others; it raises at the end."""
-    running: dict[str, StreamingQuery | str] = {}
+    running: dict[str, FeedRun | str] = {}
     for feed, place in paths.items():
         try:
             running[feed] = start_feed(spark, feed, place, as_of, ts, balance)
         except Exception as exc:  # a feed must not take the others down
             running[feed] = _reason(exc)
     reports = []
-    for feed, query in running.items():
-        if isinstance(query, str):
-            reports.append(FeedReport(feed, 0, query))
+    for feed, run in running.items():
+        if isinstance(run, str):
+            reports.append(FeedReport(feed, 0, run))
             continue
         try:
-            query.awaitTermination()
-            reports.append(FeedReport(feed, rows_added(query)))
+            run.finish()
+            reports.append(run.report(feed))
         except Exception as exc:
-            reports.append(FeedReport(feed, rows_added(query), _reason(exc)))
+            reports.append(run.report(feed, _reason(exc)))
     if any(r.error for r in reports):
         raise FeedError(reports)
     return reports
