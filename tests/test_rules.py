@@ -154,3 +154,26 @@ def test_calendar_against_python(spark):
         assert row["es_fin_de_semana"] == (d.weekday() >= 5)
         assert row["semana_anio"] == d.isocalendar()[1]
         assert row["fecha_display"] == d.strftime("%d/%m/%Y")
+
+
+def test_rankings_keep_what_has_no_value(spark):
+    from vuelometria.operators.topn import top_with_ties
+
+    df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 2.0 + 1e-9), ("d", 2.0), ("e", None)], "k string, v double")
+    names = lambda n, **how: sorted(r["k"] for r in top_with_ties(df, "v", n, **how).collect())
+    assert names(1) == ["c", "d"] and names(3) == names(9) == ["a", "c", "d"]
+    assert names(3, keep_null=True) == ["a", "c", "d"] and names(4, keep_null=True) == ["a", "b", "c", "d", "e"]
+
+
+def test_large_numbers(spark):
+    from vuelometria.functions.numeric import round_n
+    from vuelometria.functions.text import fmt_decimals, fmt_thousands
+    from vuelometria.operators.topn import top_with_ties
+
+    df = spark.createDataFrame([(1e12,), (1e15 + 0.5,), (1e40,)], "v double")
+    assert [r[0] for r in df.select(round_n("v", 2)).collect()] == [1e12, 1e15 + 0.5, 1e40]
+    small = df.where("v < 1e20")
+    assert [tuple(r) for r in small.select(fmt_decimals("v", 1), fmt_thousands("v")).collect()] == [
+        ("1000000000000.0", "1,000,000,000,000"), ("1000000000000000.5", "1,000,000,000,000,001"),
+    ]
+    assert top_with_ties(df, "v", 1).count() == 1 and top_with_ties(df, "v", 3).count() == 3

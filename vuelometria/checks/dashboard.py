@@ -70,8 +70,8 @@ _visual(
 )
 _visual(
     "j2_aerolineas_retraso", "p1_v2_aerolineas_retraso",
-    f"""select * from (select airline_name, {_DELAY} from fct_vuelos group by 1) where avg_ret is not null
-        qualify rank() over (order by avg_ret desc) <= 10""",
+    f"""select * from (select airline_name, {_DELAY} from fct_vuelos group by 1)
+        qualify rank() over (order by avg_ret desc nulls last) <= 10""",
 )
 _visual(
     "j3_barra_apilada", "p1_v3_barra_apilada",
@@ -116,7 +116,7 @@ _visual(
 )
 _visual(
     "j10_cancelaciones", "p1_v10_cancelaciones",
-    """select semana_anio, mes, count(*) filter (flight_status = 'cancelled') as cancelados
+    """select semana_anio, mes, nullif(count(*) filter (flight_status = 'cancelled'), 0) as cancelados
        from dim_fecha left join fct_vuelos using (fecha) group by 1, 2""",
 )
 _visual(
@@ -140,7 +140,7 @@ _visual(
 _visual(
     "j14_ciudades", "p2_v3_ciudades",
     f"""select * from (select ciudad, {_r6('avg(avg_temp_c)')} as temp_avg from fct_clima_diario group by 1)
-        qualify rank() over (order by temp_avg desc) <= 10""",
+        qualify rank() over (order by temp_avg desc nulls last) <= 10""",
 )
 _visual(
     "j15_adversas", "p2_v4_adversas",
@@ -275,9 +275,8 @@ def _f(expr: str, digits: int = 1) -> str:
 
 _payload(
     "j1_payload", "p1_v1_rutas",
-    """select '{"tipo":"mapa_rutas","data":"'
-         || string_agg(origen_iata || '→' || destino_iata || ':' || vuelos, '|'
-              order by vuelos desc, origen_iata, destino_iata) || '"}' as payload
+    """select 'mapa_rutas' as tipo, origen_iata || '→' || destino_iata || ':' || vuelos as payload,
+         vuelos, origen_iata, destino_iata
        from (select * from (select origen_iata, destino_iata, count(*) as vuelos from fct_vuelos group by 1, 2)
              qualify rank() over (order by vuelos desc) <= 30)""",
 )
@@ -291,14 +290,14 @@ _payload(
 )
 _payload(
     "j11_payload", "p1_v11_semaforo",
-    f"""select '{{"tipo":"semaforo","cols":"aerolinea:pct_tiempo:pct_retraso:pct_cancelado","data":"'
-          || string_agg(concat_ws(':', airline_name, {_f('t * 100')}, {_f('r * 100')}, {_f('c * 100')}), '|'
-               order by {_r6('t * 100')} desc, airline_name) || '"}}' as payload
+    f"""select 'semaforo' as tipo, 'aerolinea:pct_tiempo:pct_retraso:pct_cancelado' as cols,
+          concat_ws(':', airline_name, {_f('t * 100')}, {_f('r * 100')}, {_f('c * 100')}) as payload,
+          {_r6('t * 100')} as pct_t, airline_name
         from (select {_SHARES} from fct_vuelos group by 1)""",
 )
 _payload(
     "j23_payload", "p3_v1_cierre",
-    f"""select '{{"tipo":"donut_kpi","label":"Casos Completados","kpi":' || {_f('p * 100')} || ',"meta":80,"data":"Completados:'
+    f"""select '{{"tipo":"donut_kpi","kpi":' || {_f('p * 100')} || ',"label":"Casos Completados","meta":80,"data":"Completados:'
           || {_f('p * 100')} || '|Pendientes:' || {_f('(1 - p) * 100')} || '"}}' as payload
         from (select (count(*) filter (is_resolved))::double / count(*) as p from fct_incidentes)""",
 )
@@ -313,7 +312,8 @@ _payload(
     "j32_payload", "p3_v10_detalle",
     f"""select incidente_id || '~' || strftime(fecha, '%d/%m/%y') || '~' || airline_name || '~' || motivo || '~' || estado
           || '~' || minutos_retraso_asociado || '~' || {_f('satisfaccion_cliente')} || '~' || {_f('tiempo_resolucion_horas')}
-          as payload
+          as payload, 'tabla' as tipo, 'id~fecha~aerolinea~motivo~estado~min_ret~satisfaccion~tiempo_res' as cols,
+          fecha, incidente_id
         from fct_incidentes qualify rank() over (order by fecha desc) <= 10""",
 )
 _payload(

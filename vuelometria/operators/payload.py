@@ -28,11 +28,14 @@ def joined_rows(
     return lines.agg(text.alias("data"), *[value.alias(name) for name, value in (extra or {}).items()])
 
 
-def as_json(df: DataFrame, header: Mapping[str, str], numbers: Iterable[str] = ()) -> DataFrame:
-    """Column ``payload``: quoted header entries, unquoted number columns, then ``data``."""
-    parts: list[Column] = [F.lit("{" + "".join(f'"{k}":"{v}",' for k, v in header.items()))]
-    for name in numbers:
-        parts += [F.lit(f'"{name}":'), F.col(name), F.lit(",")]
+def as_json(df: DataFrame, header: Mapping[str, str | None], numbers: Iterable[str] = ()) -> DataFrame:
+    """Column ``payload``: quoted header entries, unquoted number columns, then ``data``.
+
+    A number stands where the header names it with None, else after the header.
+    """
+    parts: list[Column] = [F.lit("{")]
+    for name, value in {**header, **{n: None for n in numbers if n not in header}}.items():
+        parts += [F.lit(f'"{name}":'), F.col(name) if value is None else F.lit(f'"{value}"'), F.lit(",")]
     return df.select(join_text(*parts, F.lit('"data":"'), "data", F.lit('"}')).alias("payload"))
 
 

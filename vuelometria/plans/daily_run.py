@@ -119,8 +119,10 @@ def run_models(
     incidents_short = daily.incidents_from_daily(incidents_daily)
     lean = marts.fct_flights_lean(flights_daily, weather_daily, incidents_short, city)
     full = marts.fct_flights_full(flights_daily, weather_daily, incidents_daily, city)
-    table("fct_flights_lean", marts.with_updated_at(lean))
-    table("fct_flights_analytics", marts.with_updated_at(full))
+    # facts are replaced by date, so the dates that did not change are served throughout
+    touched = None if since is None else sorted({d for days in changed.values() for d in days})
+    for name, fact in (("fct_flights_lean", lean), ("fct_flights_analytics", full)):
+        replace_dates(marts.with_updated_at(only(fact, "fecha", touched)), f"{curated}/{name}", "fecha", touched)
     if cities is not None:
         dates = None if since is None else sorted({*changed["flights"], *changed["weather"]})
         flights = only(tables["flights"], "flight_date", dates)

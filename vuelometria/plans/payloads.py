@@ -22,10 +22,11 @@ Piece = Column | str
 class Layout:
     """How a visual is written: header, the pieces of a row with their separators, row order."""
 
-    header: Mapping[str, str]
+    #: None marks the place of a number.
+    header: Mapping[str, str | None]
     pieces: Sequence[Piece]
     order: Sequence[str]
-    #: False where the number of rows has no bound: then every row stays a row of its own.
+    #: False where the number of rows has no bound, like airlines or ties: every row stays a row of its own then.
     joined: bool = True
     #: Header entries without quotes that are computed from the rows.
     numbers: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
@@ -69,13 +70,16 @@ def _layouts() -> dict[str, Layout]:
             {"tipo": "mapa_rutas"},
             ["origen_iata", F.lit("→"), "destino_iata", F.lit(":"), "vuelos"],
             ["vuelos desc", "origen_iata", "destino_iata"],
+            joined=False,
         ),
         "p1_v2_aerolineas_retraso": Layout(
             {"tipo": "barra_h", "titulo": "Top 10 Aerolíneas · Retraso Prom (min)"},
             _row("airline_name", _n("avg_ret")),
             ["avg_ret desc", "airline_name"],
         ),
-        "p1_v3_barra_apilada": Layout({"tipo": "barra_apilada100", "cols": share_cols}, _row(*shares), by_share),
+        "p1_v3_barra_apilada": Layout(
+            {"tipo": "barra_apilada100", "cols": share_cols}, _row(*shares), by_share, joined=False
+        ),
         "p1_v4_embudo": Layout({"tipo": "funnel"}, _row("etapa", _n("valor", 0)), ["orden"]),
         "p1_v5_destinos": Layout(
             {"tipo": "treemap", "cols": "destino:vuelos:pct"},
@@ -86,6 +90,7 @@ def _layouts() -> dict[str, Layout]:
             {"tipo": "barra_agrupada", "ejes": "destino~aerolinea:avg_retraso"},
             _pair("destino_iata", "airline_name", _n("avg_ret")),
             ["destino_iata", "airline_name"],
+            joined=False,
         ),
         "p1_v7_dia_semana": Layout(
             {"tipo": "heatmap", "cols": "dia:vuelos:retraso"},
@@ -102,7 +107,7 @@ def _layouts() -> dict[str, Layout]:
         "p1_v10_cancelaciones": Layout(
             {"tipo": "waterfall"}, [F.lit("Sem"), "semana_anio", F.lit(":"), "cancelados"], ["semana_anio", "mes"]
         ),
-        "p1_v11_semaforo": Layout({"tipo": "semaforo", "cols": share_cols}, _row(*shares), by_share),
+        "p1_v11_semaforo": Layout({"tipo": "semaforo", "cols": share_cols}, _row(*shares), by_share, joined=False),
         "p2_v1_temperatura": Layout(
             {"tipo": "scatter", "cols": "temp:retraso:vuelos"}, _row(_n("temp"), _n("retraso"), "vuelos"), ["fecha"]
         ),
@@ -126,11 +131,13 @@ def _layouts() -> dict[str, Layout]:
             {"tipo": "heatmap_matriz", "cols": "aerolinea~condicion:avg_retraso"},
             _pair("airline_name", "condicion_clima", _n("avg_ret")),
             ["airline_name", "condicion_clima"],
+            joined=False,
         ),
         "p2_v7_mezcla": Layout(
             {"tipo": "area_apilada100"},
             _pair("fecha_display", "condicion_predominante", _n("cnt", 0)),
             ["fecha", "condicion_predominante"],
+            joined=False,
         ),
         "p2_v8_alertas": Layout(
             {"tipo": "mapa_densidad", "cols": "iata:dias_adversos:pct_retraso"},
@@ -151,7 +158,7 @@ def _layouts() -> dict[str, Layout]:
             {"tipo": "heatmap_correlacion", "vars": "|".join(CORRELATED)}, _pair("var_x", "var_y", _n("r", 2)), ["orden"]
         ),
         "p3_v1_cierre": Layout(
-            {"tipo": "donut_kpi", "label": "Casos Completados"},
+            {"tipo": "donut_kpi", "kpi": None, "label": "Casos Completados", "meta": None},
             [F.lit("Completados:"), _n("pct_cerrado"), F.lit("|Pendientes:"), _n("pct_abierto")],
             ["meta"],
             numbers={"kpi": lambda: F.max(_n("pct_cerrado")), "meta": lambda: F.lit(str(CLOSURE_TARGET))},
@@ -163,6 +170,7 @@ def _layouts() -> dict[str, Layout]:
             {"tipo": "barra_h", "titulo": "Carga Agentes · Casos Asignados"},
             _row("agente_id", "casos"),
             ["casos desc", "agente_id"],
+            joined=False,
         ),
         "p3_v4_linea": Layout(
             {"tipo": "linea_acumulada", "cols": "fecha:cerrados:abiertos"},
@@ -188,12 +196,13 @@ def _layouts() -> dict[str, Layout]:
             {"tipo": "barra_linea", "cols": "aerolinea:pct_resolucion:satisfaccion"},
             _row("airline_name", _n("pct_res"), _n("avg_sat", 2)),
             ["pct_res desc", "airline_name"],
+            joined=False,
         ),
         "p3_v9_quejas": Layout(
             {"tipo": "funnel", "titulo": "Gravedad Motivos de Queja"}, _row("motivo", "total"), ["total desc", "motivo"]
         ),
         "p3_v10_detalle": Layout(
-            {},
+            {"tipo": "tabla", "cols": "id~fecha~aerolinea~motivo~estado~min_ret~satisfaccion~tiempo_res"},
             _row(
                 "incidente_id", fmt_date("fecha", "dd/MM/yy"), "airline_name", "motivo", "estado",
                 "minutos_retraso_asociado", _n("satisfaccion_cliente"), _n("tiempo_resolucion_horas"), sep="~",
@@ -208,14 +217,18 @@ def _layouts() -> dict[str, Layout]:
 def visual_payload(name: str) -> Callable[..., DataFrame]:
     """Like ``visual(name)``, but the result is the text the dashboard component takes.
 
-    One row with ``payload``; for the detail table, whose ties have no bound, one row per line.
+    One row with ``payload`` where the chart bounds the rows. Else one row per line, with the header entries as
+    columns and the columns that order the lines; joining them is for the reader who knows how many there are.
     """
     layout = _layouts()[name]
 
     def run(facts, dims, where=None, **options) -> DataFrame:
         rows = visual(name)(facts, dims, where, **options)
         if not layout.joined:
-            return rows.select(join_text(*layout.pieces).alias("payload"))
+            keys = [F.col(key.split()[0]) for key in layout.order]
+            return rows.select(
+                *[F.lit(v).alias(k) for k, v in layout.header.items()], join_text(*layout.pieces).alias("payload"), *keys
+            )
         return as_json(
             joined_rows(rows, layout.pieces, layout.order, {k: make() for k, make in layout.numbers.items()}),
             layout.header,

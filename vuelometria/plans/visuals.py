@@ -105,8 +105,8 @@ def p1_v1_rutas(t: Tables, n: int = 30) -> DataFrame:
 
 @_visual
 def p1_v2_aerolineas_retraso(t: Tables, n: int = 10) -> DataFrame:
-    """Airlines with the highest mean delay."""
-    return top_with_ties(t["fct_vuelos"].groupBy("airline_name").agg(_avg_delay()), "avg_ret", n)
+    """Airlines with the highest mean delay; those without a known delay come last."""
+    return top_with_ties(t["fct_vuelos"].groupBy("airline_name").agg(_avg_delay()), "avg_ret", n, keep_null=True)
 
 
 def _punctuality(t: Tables) -> DataFrame:
@@ -199,13 +199,13 @@ def p1_v9_control(t: Tables, sigmas: float = 2.0) -> DataFrame:
 
 @_visual
 def p1_v10_cancelaciones(t: Tables) -> DataFrame:
-    """Cancelled flights per ISO week and month of the calendar."""
+    """Cancelled flights per ISO week and month of the calendar; NULL where there are none."""
     daily = t["fct_vuelos"].groupBy("fecha").agg(measure("total_cancelados").alias("n"))
     weeks = t["dim_fecha"].select("fecha", "semana_anio", "mes")
     return (
         drill_across(weeks, "fecha", daily)
         .groupBy("semana_anio", "mes")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cancelados"))
+        .agg(F.nullif(F.sum("n"), F.lit(0)).alias("cancelados"))
     )
 
 
@@ -251,9 +251,9 @@ def p2_v2_humedad(t: Tables) -> DataFrame:
 
 @_visual
 def p2_v3_ciudades(t: Tables, n: int = 10) -> DataFrame:
-    """Warmest cities."""
+    """Warmest cities; those without a reading come last."""
     cities = t["fct_clima_diario"].groupBy("ciudad").agg(round_n(measure("avg_temperatura"), 6).alias("temp_avg"))
-    return top_with_ties(cities, "temp_avg", n)
+    return top_with_ties(cities, "temp_avg", n, keep_null=True)
 
 
 @_visual
