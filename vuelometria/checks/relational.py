@@ -145,26 +145,28 @@ register(
 
 register(
     "d1_count",
-    lambda t: t.stg_flights.groupBy("flight_date").agg(F.count(F.lit(1)).alias("n")),
+    lambda t: daily.flight_volumes(t.stg_flights).select("flight_date", F.col("total_vuelos").alias("n")),
     "select flight_date, count(*) as n from stg_flights group by 1",
 )
 register(
     "d2_count_if",
-    lambda t: t.stg_flights.groupBy("airline_iata").agg(
-        F.count_if(F.col("flight_status") == "completado").alias("completados"),
-        F.count_if("tiene_retraso").alias("tarde"),
-        F.count_if(F.col("severidad_retraso").isin("severo", "critico")).alias("graves"),
+    lambda t: daily.flight_volumes(t.stg_flights).select(
+        "flight_date",
+        F.col("vuelos_completados").alias("completados"),
+        F.col("vuelos_con_retraso").alias("tarde"),
+        (F.col("retrasos_severos") + F.col("retrasos_criticos")).alias("graves"),
     ),
-    """select airline_iata, sum((flight_status = 'completado')::int)::bigint as completados,
+    """select flight_date, sum((flight_status = 'completado')::int)::bigint as completados,
          sum(tiene_retraso::int)::bigint as tarde,
          sum((departure_delay_min > 60)::int)::bigint as graves from stg_flights group by 1""",
 )
 register(
     "d3_count_distinct",
-    lambda t: t.stg_flights.groupBy("flight_date").agg(
-        F.count_distinct("airline_iata").alias("aerolineas"),
-        F.count_distinct("departure_iata").alias("origenes"),
-        F.count_distinct("arrival_iata").alias("destinos"),
+    lambda t: daily.flight_diversity(t.stg_flights).select(
+        "flight_date",
+        F.col("num_aerolineas").alias("aerolineas"),
+        F.col("num_aeropuertos_origen").alias("origenes"),
+        F.col("num_aeropuertos_destino").alias("destinos"),
     ),
     """select flight_date, count(distinct airline_iata) as aerolineas, count(distinct departure_iata) as origenes,
          count(distinct arrival_iata) as destinos from stg_flights group by 1""",
@@ -200,9 +202,9 @@ register(
 )
 register(
     "d7_extremes",
-    lambda t: t.stg_weather.groupBy("city", "condition").agg(
-        F.max("temp_c").alias("max_t"), F.min("temp_c").alias("min_t"), F.max("wind_kph").alias("max_w"),
-        F.max("cloud_coverage").alias("max_c"),
+    lambda t: weather_rollup(t.stg_weather, ["city", "condition"]).select(
+        "city", "condition", F.col("max_temp_c").alias("max_t"), F.col("min_temp_c").alias("min_t"),
+        F.col("max_wind_kph").alias("max_w"), F.col("max_cloud_coverage").alias("max_c"),
     ),
     """select city, condition, max(temp_c) as max_t, min(temp_c) as min_t, max(wind_kph) as max_w,
          max(cloud_coverage) as max_c from stg_weather group by 1, 2""",
@@ -218,26 +220,29 @@ register(
 )
 register(
     "d9_any_flag",
-    lambda t: t.stg_weather.groupBy("weather_date").agg(
-        F.max(F.col("condiciones_adversas").cast("int")).alias("adversa")
+    lambda t: weather_rollup(t.stg_weather, ["weather_date"]).select(
+        "weather_date", F.col("adversas").alias("adversa")
     ),
     "select weather_date, bool_or(condiciones_adversas)::int as adversa from stg_weather group by 1",
 )
 register(
     "d10_first_last",
-    lambda t: t.stg_flights.groupBy("airline_iata").agg(
-        F.min("flight_date").alias("primera"), F.max("flight_date").alias("ultima")
+    lambda t: marts.airline_metrics(airline_rollup(t.stg_flights, by_date=False)).select(
+        "airline_iata", F.col("primera_operacion").alias("primera"), F.col("ultima_operacion").alias("ultima")
     ),
-    "select airline_iata, min(flight_date) as primera, max(flight_date) as ultima from stg_flights group by 1",
+    """select airline_iata, min(flight_date) as primera, max(flight_date) as ultima from stg_flights
+       where airline_iata is not null group by 1""",
 )
 register(
     "d11_distinct",
-    lambda t: t.stg_flights.select("airline_iata", "airline_name").distinct(),
-    "select distinct airline_iata, airline_name from stg_flights",
+    lambda t: marts.dim_aerolinea(t.stg_flights).select("airline_iata", "airline_name"),
+    "select distinct airline_iata, airline_name from stg_flights where airline_iata is not null",
 )
 register(
     "d12_three_keys",
-    lambda t: t.stg_weather.groupBy("weather_date", "city", "country").agg(F.count(F.lit(1)).alias("n")),
+    lambda t: daily.int_weather_daily(t.stg_weather).select(
+        "weather_date", "city", "country", F.col("num_mediciones").alias("n")
+    ),
     "select weather_date, city, country, count(*) as n from stg_weather group by 1, 2, 3",
 )
 register(

@@ -87,7 +87,8 @@ def weather_daily_mode(stg_weather: DataFrame) -> DataFrame:
     return mode_per_group(stg_weather, ["weather_date", "city", "country"], "condition")
 
 
-def int_delays_daily(stg_delays: DataFrame) -> DataFrame:
+def int_delays_daily(stg_delays: DataFrame, approx: bool = False) -> DataFrame:
+    """One row per date; with ``approx`` the agents are counted by a sketch."""
     resolved, priority = F.col("is_resolved"), F.col("prioridad")
     total, closed, high = F.count(F.lit(1)), count_where(resolved), count_where(priority == "alta")
     return stg_delays.groupBy("report_date").agg(
@@ -99,7 +100,7 @@ def int_delays_daily(stg_delays: DataFrame) -> DataFrame:
         count_where(priority == "baja").alias("incidentes_baja_prioridad"),
         pct(closed, total).alias("pct_resolucion"),
         pct(count_where((priority == "alta") & ~resolved), high).alias("pct_criticos_sin_resolver"),
-        F.count_distinct("user_id").alias("num_agentes_activos"),
+        _distinct("user_id", approx).alias("num_agentes_activos"),
     )
 
 
