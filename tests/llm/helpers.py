@@ -11,16 +11,16 @@ def words(text):
     return re.findall(WORD, text or "")
 
 
-def shingles(text, size=4):
+def shingles(text, size=5):
     w = words((text or "").translate(LOWER))
     if len(w) < size:
         return {tuple(w)} if w else set()
     return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
-def components(texts, percent=80):
+def components(texts, percent=80, size=5):
     """id -> smallest id reachable over links of similar shingle sets."""
-    sets = {i: shingles(t) for i, t in texts.items()}
+    sets = {i: shingles(t, size) for i, t in texts.items()}
     top = {i: i for i in sets}
 
     def root(i):

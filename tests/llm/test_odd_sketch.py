@@ -22,13 +22,13 @@ def sample(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("block", [400_000, 900])
-def test_against_all_pairs(spark, block):
+@pytest.mark.parametrize("size, block", [(5, 400_000), (4, 900)])
+def test_against_all_pairs(spark, size, block):
     rows = sample()
-    got = {r.doc_id: r for r in near_copies(docs_frame(spark, rows), p=NearCopies(block=block)).collect()}
-    want = components({i: t for i, t, _ in rows})
+    got = {r.doc_id: r for r in near_copies(docs_frame(spark, rows), p=NearCopies(shingle=size, block=block)).collect()}
+    want = components({i: t for i, t, _ in rows}, size=size)
     assert {i: r.component_id for i, r in got.items()} == want
-    assert all(got[i].n_shingles == len(shingles(t)) for i, t, _ in rows)
+    assert all(got[i].n_shingles == len(shingles(t, size)) for i, t, _ in rows)
     assert all(r.kept == (r.component_id == r.doc_id) for r in got.values())
     assert want[901] == 900 and got[902].kept and got[903].kept
 

@@ -15,10 +15,11 @@ BLANKS = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def words(text: Column) -> Column:
-    """The words of a text in order; none for NULL."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, GAP))
+def words(text: Column, lower: bool = False) -> Column:
+    """The words of a text in order, with A-Z in lower case if asked for; none for NULL."""
+    # the condition looks at the text as it is, up to its first word, so the whole text is gone through once
+    cased = lower_ascii(text) if lower else text
+    return F.when(text.rlike(WORD), F.split(F.btrim(cased, F.lit(BLANKS)), GAP)).otherwise(F.array().cast("array<string>"))
 
 
 def word_count(text: Column) -> Column:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, lower_ascii, row_key, stored, whole_row, words
+from .common import WORD, row_key, stored, whole_row, words
 from .components import connected_components
 
 SALTS = 16
@@ -37,7 +37,7 @@ SALTS = 16
 
 @dataclass(frozen=True)
 class NearCopies:
-    shingle: int = 4
+    shingle: int = 5
     percent: int = 80
     bands: int = 24
     rows: int = 4
@@ -56,7 +56,7 @@ class NearCopies:
 
 def shingle_set(text: Column, size: int) -> Column:
     """The distinct shingles of a text as hashes; all words as one where there are fewer than ``size``."""
-    hashes = F.transform(words(lower_ascii(text)), lambda w: F.xxhash64(w))
+    hashes = F.transform(words(text, lower=True), lambda w: F.xxhash64(w))
 
     def shingles(h: Column) -> Column:
         runs = F.transform(

@@ -11,7 +11,7 @@ from .common import table
 from .interleaving import interleaved
 from .license_scan import scan_licenses
 from .line_frequency import line_quality
-from .odd_sketch import near_copies
+from .odd_sketch import NearCopies, near_copies
 from .reply_trees import conversation_digests
 from .surrogates import surrogate_documents
 from .template_windows import decontamination
@@ -61,7 +61,7 @@ def op7_wrapper(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
-    return near_copies(table(spark, folder, "documents"))
+    return near_copies(table(spark, folder, "documents"), p=NearCopies(shingle=4))
 
 
 def op9_interleaving(spark: SparkSession, folder: str) -> DataFrame:

@@ -164,7 +164,7 @@ def decontamination(
     docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", item_text: str = "text",
     item_id: str = "item_id", p: Templates = Templates(),
 ) -> DataFrame:
-    """One row per document: id, contaminated, n_items, and of the item that is covered best: item_id, coverage, changed."""
+    """One row per document: id, contaminated, kept, n_items, and of the item covered best: item_id, coverage, changed."""
     parts, theirs = _inputs(docs, items, text, id_col, item_text, item_id)
     best = leaks(parts, theirs, p).groupBy("k1", "k2").agg(
         F.count("*").alias("n_items"),
@@ -174,6 +174,7 @@ def decontamination(
     return rows.join(best, ["k1", "k2"], "left").select(
         F.col("id").alias(id_col),
         F.col("n_items").isNotNull().alias("contaminated"),
+        F.col("n_items").isNull().alias("kept"),
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         "b.item_id",
         (F.col("b.covered") / F.col("b.windows")).alias("coverage"),
