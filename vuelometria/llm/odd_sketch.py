@@ -178,7 +178,7 @@ def _compare_udf(p: NearCopies):
         nodes, roots, second = rows["node"].to_numpy(), rows["root"].to_numpy(), rows["second"].to_numpy()
         sketches = np.stack(rows["sketch"].to_numpy()).view(np.uint64)
         bands = np.stack(rows["bands"].to_numpy())
-        band = int(np.flatnonzero((bands == rows["bucket"].iloc[0]).all(axis=0))[0])
+        bucket = rows["bucket"].iloc[0]
         sets = rows["set"].to_numpy()
         sizes = np.array([len(x) for x in sets])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -202,7 +202,7 @@ def _compare_udf(p: NearCopies):
             if not other.any():
                 continue
             # a pair that shares several buckets is met in the first of them
-            other[other] = (bands[other] == bands[i]).argmax(axis=1) == band
+            other[other] = bands[i][(bands[other] == bands[i]).argmax(axis=1)] == bucket
             if not other.any():
                 continue
             inside = np.zeros(len(shingles), dtype=np.int32)
