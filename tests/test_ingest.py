@@ -255,6 +255,32 @@ def test_daily_job_recomputes_changed_dates_only(spark, tmp_path, monkeypatch):
     assert {r["total_vuelos"] for r in curated("fct_flights_analytics").collect()} == {3, 1}
 
 
+def test_every_visual_runs_on_what_the_daily_job_wrote(spark, tmp_path):
+    from vuelometria.plans.visuals import VISUALS, visual
+
+    where = [str(tmp_path / d) for d in ("raw", "out", "curated", "ck")]
+    put(tmp_path, "flights", "f1.json", {"data": [FLIGHT, flight(flight_status="cancelled", airline={"name": "Dos", "iata": "D2"})]})
+    put(tmp_path, "weather", "w1.json", WEATHER)
+    put(tmp_path, "delays", "delays_2026-04-01_17-00-00.json", [INCIDENT, {**INCIDENT, "id": 8, "completed": False}])
+    cities = spark.createDataFrame([("BOG", "Medellin")], "airport_iata string, ciudad string")
+    cases = spark.createDataFrame(
+        [(7, "Aerolinea Uno", "equipaje", 35, 4.0, 6.0)],
+        "incident_id long, airline_name string, motivo string, minutos_retraso_asociado int, "
+        "satisfaccion_cliente double, tiempo_resolucion_horas double",
+    )
+    first = run_daily(spark, *where, cities=cities, cases=cases)
+    put(tmp_path, "delays", "delays_2026-04-02_17-00-00.json", [{**INCIDENT, "id": 9}])
+    run_daily(spark, *where, since=first.started_at, cities=cities, cases=cases)
+    read = {n: spark.read.parquet(f"{where[2]}/{n}") for n in
+            ("fct_vuelos", "fct_incidentes", "fct_clima_diario", "dim_fecha", "dim_aeropuerto")}
+    assert read["fct_incidentes"].count() == 3
+    facts = {n: df for n, df in read.items() if n.startswith("fct")}
+    dims = {n: df for n, df in read.items() if n.startswith("dim")}
+    rows = {name: visual(name)(facts, dims).collect() for name in VISUALS}
+    assert [(r["motivo"], r["total"]) for r in rows["p3_v2_motivos"] if r["motivo"]] == [("equipaje", 1)]
+    assert len(rows["p1_v2_aerolineas_retraso"]) == 2 and len(rows["p3_v10_detalle"]) == 3
+
+
 def test_daily_job_without_weather(spark, tmp_path):
     where = [str(tmp_path / d) for d in ("raw", "out", "curated", "ck")]
     put(tmp_path, "flights", "f1.json", {"data": [FLIGHT]})

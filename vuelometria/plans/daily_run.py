@@ -81,10 +81,13 @@ def run_models(
     since: datetime | None = None,
     city: str | None = None,
     cities: DataFrame | None = None,
+    cases: DataFrame | None = None,
 ) -> dict[str, list[date] | None]:
     """Daily tables and rollups of the changed dates, then dimensions and facts from those.
 
-    With ``cities`` (airport_iata, ciudad) the per-flight fact of the dashboard is kept as well.
+    With ``cities`` (airport_iata, ciudad) the per-flight fact of the dashboard is kept as well, and airports get their
+    city. With ``cases`` (incident_id and what the feed does not hold: airline_name, motivo, minutos_retraso_asociado,
+    satisfaccion_cliente, tiempo_resolucion_horas) the incident fact is kept.
     """
     tables: dict[str, DataFrame] = {}
     changed: dict[str, list[date] | None] = {}
@@ -114,7 +117,8 @@ def run_models(
     )
     table("dim_fecha", marts.dim_fecha(flights_daily, weather_daily, incidents_daily))
     table("dim_aerolinea", marts.dim_aerolinea_from_rollup(airlines))
-    table("dim_aeropuerto", marts.dim_aeropuerto_from_rollup(routes))
+    airports = marts.dim_aeropuerto_from_rollup(routes)
+    table("dim_aeropuerto", airports if cities is None else facts.airport_city(airports, cities))
     table("dim_condicion_clima", marts.dim_condicion_clima_from_rollup(measured))
     incidents_short = daily.incidents_from_daily(incidents_daily)
     lean = marts.fct_flights_lean(flights_daily, weather_daily, incidents_short, city)
@@ -132,6 +136,11 @@ def run_models(
         vuelos = facts.fct_vuelos(placed, only(clima, "fecha", dates), "ciudad")
         # an increment is small and gets compacted; the whole history is written where it was read
         write_partitioned(vuelos, f"{curated}/fct_vuelos", "fecha", "overwrite", balance=since is not None)
+    if cases is not None:
+        incidents = only(tables["delays"], "report_date", changed["delays"])
+        named = incidents.select("incident_id", "report_date", "user_id", "is_resolved").join(cases, "incident_id", "left")
+        names = {"incidente_id": "incident_id", "fecha": "report_date", "agente_id": "user_id"}
+        replace_dates(facts.fct_incidentes(named, names), f"{curated}/fct_incidentes", "fecha", changed["delays"])
     return changed
 
 
@@ -146,6 +155,7 @@ def run_daily(
     city: str | None = None,
     cities: DataFrame | None = None,
     quarantine: str | None = None,
+    cases: DataFrame | None = None,
 ) -> RunReport:
     """Ingests all feeds and refreshes the models.
 
@@ -161,7 +171,7 @@ def run_daily(
         report.feeds = run_feeds(spark, paths, as_of)
     except FeedError as exc:
         failure, report.feeds = exc, exc.reports
-    report.changed = run_models(spark, processed, curated, since, city, cities)
+    report.changed = run_models(spark, processed, curated, since, city, cities, cases)
     if failure is not None:
         raise failure
     return report
