@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .budget_mix import mixture
 from .common import table
@@ -70,7 +71,12 @@ def op9_interleaving(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    added = spark.createDataFrame([(-1, 0, "user", ADDED_TEXT), (-1, 1, "assistant", ADDED_TEXT)], conversations.schema)
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ADDED_TEXT).alias("text"),
+    )
     return conversation_digests(conversations.unionByName(added))
 
 
