@@ -54,39 +54,39 @@ def _links(messages: DataFrame) -> DataFrame:
     first = messages.where("id is not null").groupBy("id").agg(F.min(F.struct("place", "parent", "score")).alias("m"))
     nodes = first.select("id", "m.place", "m.parent", F.coalesce("m.score", F.lit(0.0)).cast("double").alias("score"))
     parents = nodes.select(F.col("id").alias("up"), F.col("place").alias("up_place"))
-    joined = nodes.join(parents, F.col("parent") == F.col("up"), "left")
-    earlier = F.col("up_place") < F.col("place")
-    return joined.select("id", F.when(earlier, F.col("up")).alias("up"), "score")
+    # roots have no part in the join, where they would all meet in the task of the NULL key
+    joined = nodes.where("parent is not null").join(parents, F.col("parent") == F.col("up"), "left")
+    earlier = F.when(F.col("up_place") < F.col("place"), F.col("up")).alias("up")
+    roots = nodes.where("parent is null").select("id", F.lit(None).cast(nodes.schema["id"].dataType).alias("up"), "score")
+    return joined.select("id", earlier, "score").unionByName(roots)
 
 
-def _jumps(links: DataFrame) -> list[DataFrame]:
-    """Tables k = 0, 1, ...: for each message the one 2^k steps up, or NULL past the root, with sums over the way.
+def _climb(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, root, steps, total) of every message, and tables k = 0, 1, ... with the message 2^k steps above (id, up).
 
-    The last table has no message up: its ``root``, ``steps`` and ``total`` are those of the whole path.
+    Table k holds the messages that are that deep; the others have met their root and take no further part, so all tables
+    together have as many rows as there are messages, times the log of their mean depth.
     """
-    level = stored(
-        links.select(
-            "id", "up", F.coalesce("up", "id").alias("root"), F.col("up").isNotNull().cast("long").alias("steps"),
-            F.col("score").alias("total"),
-        ),
-        "jumps",
-    )
-    tables = [level]
-    while not level.where("up is not null").isEmpty():
-        above = level.select(
-            F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("root").alias("a_root"),
-            F.col("steps").alias("a_steps"), F.col("total").alias("a_total"),
-        )
-        level = stored(
-            level.join(above, F.col("up") == F.col("a_id"), "left").select(
-                "id", F.col("a_up").alias("up"), F.coalesce("a_root", "root").alias("root"),
-                (F.col("steps") + F.coalesce("a_steps", F.lit(0))).alias("steps"),
-                (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"),
+    nowhere = F.lit(None).cast(links.schema["id"].dataType)
+    done = links.where("up is null").select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("steps"), F.col("score").alias("total"))
+    level = links.where("up is not null").select("id", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
+    tables = []
+    while not level.isEmpty():
+        tables.append(level.select("id", "up"))
+        names = ("a_id", "a_up", "a_root", "a_steps", "a_total")
+        above = done.select("id", nowhere, "root", "steps", "total").toDF(*names).unionByName(
+            level.select("id", "up", nowhere, "steps", "total").toDF(*names)
+        )
+        climbed = stored(
+            level.join(above, F.col("up") == F.col("a_id")).select(
+                "id", F.col("a_up").alias("up"), F.col("a_root").alias("root"),
+                (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total"),
             ),
-            "jumps",
+            "climbed",
         )
-        tables.append(level)
-    return tables
+        done = done.unionByName(climbed.where("root is not null").drop("up"))
+        level = climbed.where("up is not null").drop("root")
+    return done, tables
 
 
 def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
@@ -94,10 +94,10 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
     ``messages`` has id, parent, place (what comes earlier is lower) and score.
     """
-    tables = _jumps(stored(_links(messages), "links"))
-    whole = tables[-1]
-    inner = tables[0].where("up is not null").select(F.col("up").alias("id")).distinct()
-    leaves = whole.join(inner, "id", "left_anti").select("id", "root", "steps", (F.col("total") / (F.col("steps") + 1)).alias("mean"))
+    links = stored(_links(messages), "links")
+    whole, tables = _climb(links)
+    answered = links.where("up is not null").select(F.col("up").alias("id")).distinct()
+    leaves = whole.join(answered, "id", "left_anti").select("id", "root", "steps", (F.col("total") / (F.col("steps") + 1)).alias("mean"))
     # the best leaves of a tree by repeated maxima, which are partial aggregates; a tree may have any number of leaves
     order = F.struct("mean", "steps", "id")
     best, left = None, leaves
@@ -108,8 +108,8 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         if rank < branches:
             left = left.join(top.select("id"), "id", "left_anti")
     path = best.select(F.col("id").alias("leaf"), "root", "rank", "id", F.col("steps").alias("depth"))
-    for k, jump in enumerate(tables[:-1]):
-        step = jump.where("up is not null").select(F.col("id").alias("j_id"), "up")
+    for k, jump in enumerate(tables):
+        step = jump.select(F.col("id").alias("j_id"), "up")
         above = path.join(step, F.col("id") == F.col("j_id")).select(
             "leaf", "root", "rank", F.col("up").alias("id"), (F.col("depth") - 2**k).alias("depth")
         )
