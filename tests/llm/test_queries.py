@@ -36,6 +36,12 @@ def test_whole_tables(spark, folder):
     assert QUERIES["op7_wrapper"](spark, folder).count() == table(spark, folder, "pages").count()
 
 
+@pytest.mark.parametrize("key", ["op1_surrogates", "op5_line_frequency", "op10_reply_trees"])
+def test_no_python_on_the_way(spark, folder, key):
+    text = QUERIES[key](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoopJoin", text)
+
+
 def test_verbatim_leaks(spark, folder):
     plain = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))
     items = [plain(r.text) for r in table(spark, folder, "benchmark").collect()]
