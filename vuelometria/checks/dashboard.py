@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from ..functions.numeric import round_n
 from ..plans.measures import evaluate, measure, measure_names
 from ..plans.payloads import visual_payload
-from ..plans.visuals import KPI_TARGETS, visual
+from ..plans.visuals import visual
 from .registry import register
 
 # --- measures ---------------------------------------------------------------------------
@@ -54,7 +56,11 @@ def _r6(expr: str) -> str:
     return f"round(({expr})::decimal(18,6), 6)::double"
 
 
+_ROWS: dict[str, str] = {}
+
+
 def _visual(key: str, name: str, sql: str, **options) -> None:
+    _ROWS[name] = sql
     register(key, lambda t: visual(name)(t.facts, t.dims, **options), sql)
 
 
@@ -253,7 +259,8 @@ _visual(
 )
 _visual(
     "j33_bullet", "p3_v11_kpi",
-    f"""select unnest([1, 2, 3, 4, 5]) as orden, unnest({list(KPI_TARGETS)}) as kpi,
+    f"""select unnest([1, 2, 3, 4, 5]) as orden, 
+          unnest(['TasaCierre', 'TiempoRes', 'Satisfaccion', 'CasosCerrados', 'MinEvitados']) as kpi,
           unnest([{_r6('100 * (count(*) filter (is_resolved))::double / count(*)')},
             {_r6('avg(tiempo_resolucion_horas)')}, {_r6('avg(satisfaccion_cliente)')},
             (count(*) filter (is_resolved))::double,
@@ -324,3 +331,43 @@ _payload(
           || ':20000|MinEvitados:' || format('{{:,}}', (sum(minutos_retraso_asociado) filter (is_resolved))::bigint)
           || ':40000"}}' as payload from fct_incidentes""",
 )
+
+# Written from the dashboard's own texts: visual, header, line and order over the rows of the visual.
+for _key, _name, _header, _line, _order in (
+    ("j4_payload", "p1_v4_embudo", '"tipo":"funnel"', f"etapa, ':', {_f('valor', 0)}", "orden"),
+    ("j5_payload", "p1_v5_destinos", '"tipo":"treemap","cols":"destino:vuelos:pct"',
+     f"destino_iata, ':', vuelos, ':', {_f('pct')}", "vuelos desc, destino_iata"),
+    ("j7_payload", "p1_v7_dia_semana", '"tipo":"heatmap","cols":"dia:vuelos:retraso"',
+     f"nombre_dia, ':', vuelos, ':', {_f('retraso')}", "dia_semana_num"),
+    ("j8_payload", "p1_v8_evolucion", '"tipo":"linea"', "fecha_display, ':', vuelos", "fecha"),
+    ("j10_payload", "p1_v10_cancelaciones", '"tipo":"waterfall"', "'Sem', semana_anio, ':', cancelados", "semana_anio, mes"),
+    ("j12_payload", "p2_v1_temperatura", '"tipo":"scatter","cols":"temp:retraso:vuelos"',
+     f"{_f('temp')}, ':', {_f('retraso')}, ':', vuelos", "fecha"),
+    ("j13_payload", "p2_v2_humedad", '"tipo":"combo_barra_linea","cols":"fecha:humedad:retraso"',
+     f"fecha_display, ':', {_f('humedad')}, ':', {_f('retraso')}", "fecha"),
+    ("j14_payload", "p2_v3_ciudades", '"tipo":"barra_h","titulo":"Ranking Termométrico · °C"',
+     f"ciudad, ':', {_f('temp_avg')}", "temp_avg desc, ciudad"),
+    ("j24_payload", "p3_v2_motivos", '"tipo":"treemap","cols":"motivo:total:pct"',
+     f"motivo, ':', total, ':', {_f('pct')}", "total desc, motivo"),
+    ("j28_payload", "p3_v6_reclamos", '"tipo":"combo_linea_linea","cols":"fecha:vuelos_demorados:reclamos"',
+     "fecha_display, ':', vuelos_dem, ':', reclamos", "fecha"),
+    ("j29_payload", "p3_v7_tendencia", '"tipo":"linea_dual","cols":"fecha:abiertos:cerrados"',
+     "fecha_display, ':', abiertos, ':', cerrados", "fecha"),
+    ("j31_payload", "p3_v9_quejas", '"tipo":"funnel","titulo":"Gravedad Motivos de Queja"',
+     "motivo, ':', total", "total desc, motivo"),
+):
+    _payload(
+        _key, _name,
+        f"""select '{{{_header},"data":"' || string_agg(concat({_line}), '|' order by {_order}) || '"}}' as payload
+            from ({_ROWS[_name]})""",
+    )
+
+register(
+    "j_slicers",
+    lambda t: visual("p1_v1_rutas")(
+        t.facts, t.dims, where={"dim_fecha": F.col("trimestre") == "Q1", "fct_vuelos": F.col("flight_status") != "cancelled"}
+    ),
+    """select * from (select origen_iata, destino_iata, count(*) as vuelos from fct_vuelos join dim_fecha using (fecha)
+                      where trimestre = 'Q1' and flight_status <> 'cancelled' group by 1, 2)
+       qualify rank() over (order by vuelos desc) <= 30""",
+)
