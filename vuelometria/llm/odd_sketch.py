@@ -86,27 +86,24 @@ def signature_udf(p: NearCopies):
         flat = pa.array(np.ascontiguousarray(rows).reshape(-1))
         return pa.ListArray.from_arrays(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32), flat)
 
-    @F.arrow_udf("struct<node:binary,sketch:array<bigint>,bands:array<bigint>>")
-    def signature(sets: pa.Array) -> pa.Array:
-        values = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        sizes = sets.value_lengths().to_numpy(zero_copy_only=False)
+    def sketch(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class keys, odd sketches and band keys of some sets, which stand one after the other in ``values``."""
         full = np.flatnonzero(sizes)  # reduceat must not see empty sets
         starts = (np.cumsum(sizes) - sizes)[full].astype(np.int64)
         n = len(sizes)
         low = _mix(values, 0xFF51AFD7ED558CCD).astype(np.uint32)
         least = np.zeros((n, p.samples), dtype=np.uint32)
-        for i in range(p.samples):
+        for i in range(p.samples if len(full) else 0):
             x = low * factors[i] + shifts[i]
             x ^= x >> np.uint32(15)
             x *= np.uint32(0x2C1B3C6D)
             x ^= x >> np.uint32(13)
-            least[full, i] = np.minimum.reduceat(x, starts) if len(full) else 0
+            least[full, i] = np.minimum.reduceat(x, starts)
         places = _mix(least.astype(np.uint64) + (np.arange(p.samples, dtype=np.uint64) << np.uint64(32)), 0xC4CEB9FE1A85EC53)
         parity = np.zeros((n, p.bits), dtype=np.uint8)
         every = np.arange(n)
         for i in range(p.samples):
             parity[every, (places[:, i] % np.uint64(p.bits)).astype(np.int64)] ^= 1
-        sketch = np.packbits(parity, axis=1).view(np.int64)
         keys = np.empty((n, p.bands), dtype=np.uint64)
         for b in range(p.bands):
             key = np.full(n, b + 1, dtype=np.uint64)
@@ -115,9 +112,25 @@ def signature_udf(p: NearCopies):
             keys[:, b] = key
         halves = np.zeros((n, 2), dtype=np.uint64)
         for i, odd in enumerate((0x94D049BB133111EB, 0xD6E8FEB86659FD93)):
-            halves[full, i] = np.add.reduceat(_mix(values, odd), starts) if len(full) else 0
+            if len(full):
+                halves[full, i] = np.add.reduceat(_mix(values, odd), starts)
+        return halves, np.packbits(parity, axis=1).view(np.int64), keys.view(np.int64)
+
+    @F.arrow_udf("struct<node:binary,sketch:array<bigint>,bands:array<bigint>>")
+    def signature(sets: pa.Array) -> pa.Array:
+        values = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        sizes = sets.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        # some hundred thousand shingles at a time, so that a batch of long texts takes no more memory than others
+        parts, row = [] if len(sizes) else [sketch(values, sizes)], 0
+        while row < len(sizes):
+            begin = int(ends[row] - sizes[row])
+            to = max(row + 1, int(np.searchsorted(ends, begin + 250_000, side="right")))
+            parts.append(sketch(values[begin : int(ends[to - 1])], sizes[row:to]))
+            row = to
+        halves, sketches, keys = (np.concatenate(x) for x in zip(*parts))
         node = pa.array([x.tobytes() if size else None for x, size in zip(halves, sizes)], type=pa.binary())
-        return pa.StructArray.from_arrays([node, lists(sketch), lists(keys.view(np.int64))], ["node", "sketch", "bands"])
+        return pa.StructArray.from_arrays([node, lists(sketches), lists(keys)], ["node", "sketch", "bands"])
 
     return signature
 
