@@ -1,5 +1,9 @@
+import random
+import re
+from collections import Counter
+
 from tests.llm.helpers import docs_frame
-from vuelometria.llm.license_scan import NOTICES, admissible, scan_licenses
+from vuelometria.llm.license_scan import NOTICES, Finder, admissible, full_notices, scan_licenses
 
 
 def test_notices(spark):
@@ -24,3 +28,36 @@ def test_size_bounds_lose_nothing():
             if 2 * min(a, b) / (a + b) >= 0.8:
                 assert b in admissible(a, 0.8)
     assert len(NOTICES) == len(set(NOTICES))
+
+
+def test_notices_anywhere(spark):
+    prose = "the weather was fine and nobody thought of anything "
+    full = dict(full_notices()[len(NOTICES) :])
+    texts = {
+        1: "Copyright 2020 Foo Inc. All rights reserved. Home About", 2: prose * 20 + "Released under the MIT License. " + prose * 20,
+        3: prose * 40, 4: prose * 30 + " ".join(full["MIT"].split()) + prose * 30, 5: prose + full["GPL-3.0"] + prose, 6: None, 7: "", 8: "word",
+        9: "/* " + full["MPL-2.0"].replace("\n", "\n * ") + " */", 10: "All rights reserved. " * 3000, 11: "rights reserved all",
+    }
+    docs = docs_frame(spark, [(i, t, "a") for i, t in texts.items()] + [(1, texts[1], "a")])
+    got = {r.doc_id: r for r in scan_licenses(docs, notices=full_notices(), anywhere=True).collect()}
+    names = {1: "All-Rights-Reserved", 2: "MIT", 4: "MIT", 5: "GPL-3.0", 9: "MPL-2.0", 10: "All-Rights-Reserved"}
+    assert {i: r.license for i, r in got.items()} == {i: names.get(i) for i in texts}
+    assert all(got[i].dice == 1.0 for i in names)
+    assert scan_licenses(docs, notices=full_notices(), anywhere=True).count() == 12
+    assert {r.license for r in scan_licenses(docs, notices=(), anywhere=True).collect()} == {None}
+
+
+def test_best_run_is_exact():
+    r = random.Random(5)
+    for _ in range(300):
+        notice = [r.choice("abc") for _ in range(r.randint(2, 9))]
+        text = [r.choice("abcd") for _ in range(r.randint(0, 30))]
+        want = Counter(zip(notice, notice[1:]))
+        best = 0.0
+        for i in range(len(text)):
+            for j in range(i + 2, len(text) + 1):
+                bag = Counter(zip(text[i:j], text[i + 1 : j]))
+                best = max(best, 2 * sum((bag & want).values()) / (sum(bag.values()) + sum(want.values())))
+        found = Finder((("x", " ".join(notice)),), 0.8).found(" ".join(text))
+        assert found == ({"x": best} if best >= 0.8 else {}), (notice, text)
+    assert all(re.search(r"[^\W_]+ ", text) for _, text in full_notices())

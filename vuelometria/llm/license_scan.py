@@ -8,6 +8,12 @@ their size. A bound from the distinct bigrams comes next, the exact bags last.
 The notices under their sizes are broadcast up to ``broadcast_rows`` rows, else joined by shuffle; the result is the same.
 Texts never travel: a passage that matches is a row with the key of its document.
 
+``anywhere=True`` looks at every run of words of a text instead, whatever its lines, so a notice inside of a line or of running
+prose is found as well: the best Dice of all runs, exactly. A best run starts and ends with a bigram of the notice, so only
+the places of such bigrams are looked at, and only where enough of them lie close to each other to reach the limit. That is
+an Arrow UDF over each row by itself; the notices go with it, and nothing is shuffled. It is used with ``full_notices()``, the
+short notices with the license texts and file headers of ``licenses/``.
+
 Defined results: NULL and empty texts have no license; a passage of one word has no bigrams and matches nothing; the best
 notice of a document is that with the highest Dice, then by name; equal rows get equal results; empty tables are allowed.
 """
@@ -16,7 +22,10 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +52,14 @@ NOTICES = (
 )
 
 _WORD = r"[\p{L}\p{N}]+"
+_PYTHON_WORD = re.compile(r"[^\W_]+")
+_FOUND = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64())]))
+
+
+def full_notices() -> tuple[tuple[str, str], ...]:
+    """``NOTICES`` and the texts of ``licenses/``: whole licenses, and headers of source files (``name+variant.txt``)."""
+    files = sorted((Path(__file__).parent / "licenses").glob("*.txt"))
+    return (*NOTICES, *((f.stem.split("+")[0], f.read_text(encoding="utf-8")) for f in files))
 
 
 def _bigrams(text: Column) -> Column:
@@ -100,11 +117,101 @@ def license_matches(
     )
 
 
+class Finder:
+    """The best run of words of a text for each notice. ``limit`` is above 0."""
+
+    def __init__(self, notices: tuple[tuple[str, str], ...], limit: float) -> None:
+        self.limit = limit
+        bags = [(name, _PYTHON_WORD.findall(text.lower())) for name, text in notices]
+        bags = [(name, w) for name, w in bags if len(w) > 1]
+        self.words: dict[str, int] = {}
+        for _, w in bags:
+            for x in w:
+                self.words.setdefault(x, len(self.words) + 1)
+        self.base = len(self.words) + 1
+        codes = [self._codes(w)[0] for _, w in bags]
+        self.grams = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
+        self.names = [name for name, _ in bags]
+        self.sizes = [len(c) for c in codes]
+        #: how often each bigram is in each notice
+        self.counts = np.zeros((len(self.grams), len(bags)), np.int32)
+        for i, c in enumerate(codes):
+            found, n = np.unique(c, return_counts=True)
+            self.counts[np.searchsorted(self.grams, found), i] = n
+        self.held = self.counts > 0
+        #: the fewest common bigrams that reach the limit
+        self.least = np.array([max(1, math.ceil(n * limit / (2 - limit) - 1e-9)) for n in self.sizes], np.int64)
+
+    def _codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each pair of neighbours, and which pairs consist of known words."""
+        ids = np.fromiter((self.words.get(x, 0) for x in words), np.int64, len(words))
+        return ids[:-1] * self.base + ids[1:], (ids[:-1] > 0) & (ids[1:] > 0)
+
+    def found(self, text: str | None) -> dict[str, float]:
+        """license -> best Dice, of those that reach the limit."""
+        if not text or not len(self.grams):
+            return {}
+        words = _PYTHON_WORD.findall(text.lower())
+        if len(words) < 2:
+            return {}
+        codes, known = self._codes(words)
+        places = np.flatnonzero(known)
+        index = np.searchsorted(self.grams, codes[places])
+        hit = index < len(self.grams)
+        hit[hit] = self.grams[index[hit]] == codes[places[hit]]
+        places, index = places[hit], index[hit]
+        if len(places) < self.least.min():
+            return {}
+        totals = self.held[index].sum(axis=0)
+        best: dict[str, float] = {}
+        for i in np.flatnonzero(totals >= self.least):
+            own = self.held[index, i]
+            dice = self._best(places[own], index[own], i)
+            if dice >= self.limit:
+                best[self.names[i]] = max(dice, best.get(self.names[i], 0.0))
+        return best
+
+    def _best(self, places: np.ndarray, grams: np.ndarray, i: int) -> float:
+        size, least = self.sizes[i], int(self.least[i])
+        longest = math.floor(size * (2 - self.limit) / self.limit + 1e-9)
+        if len(places) < least:
+            return 0.0
+        starts = np.flatnonzero(places[least - 1 :] - places[: len(places) - least + 1] < longest)
+        if not len(starts):
+            return 0.0
+        # a bigram counts in runs that start after the place where the notice would have one less of it
+        order = np.argsort(grams, kind="stable")
+        ordered, earlier = grams[order], np.arange(len(order)) - self.counts[grams[order], i]
+        same = (earlier >= 0) & (ordered[earlier] == ordered)
+        after = np.full(len(order), -1, np.int64)
+        after[order[same]] = places[order[earlier[same]]]
+        ends = np.searchsorted(places, places[starts] + longest)
+        best = 0.0
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            common = np.cumsum(after[a:b] < places[a])
+            best = max(best, float((2 * common / (places[a:b] - places[a] + 1 + size)).max()))
+            if best == 1.0:
+                break
+        return best
+
+
 def scan_licenses(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", notices: tuple[tuple[str, str], ...] = NOTICES, limit: float = 0.8
-) -> DataFrame:
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", notices: tuple[tuple[str, str], ...] = NOTICES, limit: float = 0.8,
+    anywhere: bool = False,
+) -> DataFrame:
     """One row per document: id, license (the best, or NULL), dice and n_licenses."""
     parts = docs.select(docs[id_col].alias("id"), docs[text].alias("text"))
+    if anywhere:
+        finder = Finder(notices, limit)
+
+        @F.arrow_udf("array<struct<license:string,dice:double>>")
+        def all_found(texts: pa.Array) -> pa.Array:
+            rows = (finder.found(x.as_py()) for x in texts)
+            return pa.array([[{"license": k, "dice": v} for k, v in r.items()] for r in rows], type=_FOUND)
+
+        less = F.array_min(F.transform("found", lambda x: F.struct((-x.dice).alias("less"), x.license.alias("license"))))
+        best = parts.select("id", all_found("text").alias("found")).select("id", F.size("found").cast("long").alias("n_licenses"), less.alias("m"))
+        return best.select(F.col("id").alias(id_col), "m.license", (-F.col("m.less")).alias("dice"), "n_licenses")
     found = license_matches(parts, notices, limit).groupBy("k1", "k2").agg(
         F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("m"), F.count("*").alias("n_licenses")
     )

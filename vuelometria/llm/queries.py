@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .budget_mix import mixture
 from .common import table
 from .interleaving import interleaved
-from .license_scan import scan_licenses
+from .license_scan import full_notices, scan_licenses
 from .line_frequency import line_quality
 from .odd_sketch import NearCopies, near_copies
 from .reply_trees import conversation_digests
@@ -54,7 +54,7 @@ def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_licenses(table(spark, folder, "documents"))
+    return scan_licenses(table(spark, folder, "documents"), notices=full_notices(), anywhere=True)
 
 
 def op7_wrapper(spark: SparkSession, folder: str) -> DataFrame:
