@@ -53,3 +53,14 @@ def test_repeated_rows_and_empty_table(spark):
     assert [r.kept for r in line_quality(docs).collect()] == [True] * 4
     assert clean_documents(docs).count() == 4
     assert line_quality(docs.limit(0)).collect() == [] and clean_documents(docs.limit(0)).collect() == []
+
+
+def test_long_lines_count_too(spark):
+    notice = "We value your privacy and use cookies for " + text("notice", 60)
+    rows = [(i, f"{text(i)}\n{notice}", "a") for i in range(6)] + [(10, f"{notice}\n{text(10, 2)}", "a"), (11, f"{text(11)}\n{notice}", "b")]
+    docs = docs_frame(spark, rows)
+    got = {r.doc_id: r for r in line_quality(docs, limits=LIMITS).collect()}
+    assert len(notice) > 200 and [got[i].removed_words for i in (0, 10, 11)] == [68, 68, 0]
+    assert not got[10].kept and all(got[i].kept for i in (*range(6), 11))
+    cleaned = {r.doc_id: r.text for r in clean_documents(docs, limits=LIMITS).collect()}
+    assert cleaned == {**{i: text(i) for i in range(6)}, 11: rows[7][1]}

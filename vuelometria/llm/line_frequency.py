@@ -5,10 +5,10 @@ boilerplate and are removed, and a document with next to nothing left is rejecte
 
 * Distinct documents are distinct texts: a document that was crawled a thousand times counts once, so copies do not turn
   each other into boilerplate. Which copy stays is the matter of the deduplication.
-* A boilerplate line has ``max_line_chars`` code points at most. Longer lines that repeat are passages of near copies.
+* Lines of any length count; the limits on documents alone decide.
 * The limit of a host is ``min_documents`` or ``min_share`` of its distinct documents, whichever is larger.
 
-Everything is SQL functions. The texts are read once; what goes on is a row with the hashes of the short lines. The hot
+Everything is SQL functions. The texts are read once; what goes on is a row with the hashes of the lines. The hot
 line of a hot host is spread by a salt, and counted by partial aggregation.
 
 Defined results: a NULL text has no words and fails; a NULL host is a host of its own; equal rows get equal results, and
@@ -33,7 +33,6 @@ SALTS = 32
 class LineLimits:
     min_documents: int = 20
     min_share: float = 0.005
-    max_line_chars: int = 200
     min_words_left: int = 5
     min_share_left: float = 0.1
 
@@ -111,10 +110,10 @@ def _line_id(line: Column) -> Column:
     return through(normalised(line), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.hash(x).alias("h2")))
 
 
-def measured(docs: DataFrame, limits: LineLimits) -> DataFrame:
-    """One stored row per document (``id``, ``host``, ``text``): key, measures, ids of its short lines, no text."""
+def measured(docs: DataFrame) -> DataFrame:
+    """One stored row per document (``id``, ``host``, ``text``): key, measures, ids of its lines, no text."""
     ids = F.transform(
-        F.filter("_lines", lambda x: F.length(x) <= limits.max_line_chars),
+        "_lines",
         lambda x: F.struct(_line_id(x).alias("id"), F.regexp_count(x, F.lit(WORD)).alias("n")),
     )
     return stored(
@@ -181,7 +180,7 @@ def line_quality(
     docs: DataFrame, text: str = "text", host: str = "source", id_col: str = "doc_id", limits: LineLimits = LineLimits()
 ) -> DataFrame:
     """One row per document: ``id_col``, measures, ``base_failed``, ``removed_words`` and ``kept``."""
-    rows = measured(docs.select(docs[id_col].alias("id"), docs[host].alias("host"), docs[text].alias("text")), limits)
+    rows = measured(docs.select(docs[id_col].alias("id"), docs[host].alias("host"), docs[text].alias("text")))
     return judged(rows, limits).select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "removed_words",
@@ -197,14 +196,14 @@ def clean_documents(
     A text without such lines stays as it is to the last character; ``n_chars`` follows a text that was changed.
     """
     parts = docs.select(docs[host].alias("host"), docs[text].alias("text"), whole_row(docs).alias("doc"))
-    rows = measured(parts.select(F.lit(None).alias("id"), "host", "text"), limits)
+    rows = measured(parts.select(F.lit(None).alias("id"), "host", "text"))
     verdicts = judged(rows, limits).groupBy("k1", "k2").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed"))
     joined = parts.select("doc", *row_key(F.col("host"), F.col("text"))).join(verdicts, ["k1", "k2"]).where("kept")
     whole = F.col("doc").getField(text)
     rest = F.array_join(
         F.filter(
             F.split(whole, "\n", -1),
-            lambda x: (F.length(x) > limits.max_line_chars) | ~F.array_contains(F.col("removed"), _line_id(x)),
+            lambda x: ~F.array_contains(F.col("removed"), _line_id(x)),
         ),
         "\n",
     )
