@@ -44,3 +44,20 @@ def test_empty_tables_and_repeated_rows(spark, items):
     assert without_leaks(docs, items.limit(0)).count() == 3
     assert without_leaks(docs, items).columns == docs.columns and without_leaks(docs, items).count() == 1
     assert decontamination(docs.limit(0), items).collect() == []
+
+
+@pytest.mark.parametrize("rows", [2_000_000, 0])
+def test_few_words_and_short_items(spark, rows):
+    sums, few = "What is 12 * 7 + 3?", "Add 12 km, 30 kg and 9."
+    items = spark.createDataFrame(
+        [(1, sums), (2, few), (3, "Define entropy"), (4, "Is 7 prime?"), (5, QUESTION), (6, "Solve 3 5 7 9 11 13 15 quickly by some known method")],
+        "item_id long, text string",
+    )
+    docs = docs_frame(spark, [
+        (1, FILLER + sums + FILLER, "a"), (2, FILLER + few.lower() + FILLER, "a"), (3, FILLER + "Define entropy. " + FILLER, "a"),
+        (4, FILLER + "Is 7 prime? " + FILLER, "a"), (5, FILLER + "Is 8 prime? " + FILLER, "a"), (6, FILLER + OTHER, "a"),
+        (7, FILLER + "What is 13 * 8 + 4? " + FILLER, "a"), (8, FILLER + "Define energy. " + FILLER, "a"), (9, "is 7 prime", "a"),
+        (10, FILLER + "Solve 2 4 6 8 10 12 14 quickly by some known method " + FILLER, "a"), (11, "define", "a"), (12, None, "a"), (13, "", "a"),
+    ])
+    got = {r.doc_id: r.item_id for r in decontamination(docs, items, p=Templates(broadcast_rows=rows)).collect() if r.contaminated}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 6: 5, 9: 4, 10: 6}

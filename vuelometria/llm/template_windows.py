@@ -7,14 +7,15 @@ must stand for one value of the document throughout, or the alignment does not c
 item if consistent alignments cover ``coverage`` of the windows of the item.
 
 Names are capitalised words inside of a sentence (upper case, then lower case). The items are also entered with their
-names as plain words, for texts that lost their case. Numbers have digits, and a unit is a word of ``UNITS`` after a number
-(or the empty unit). Windows with fewer than ``literals`` plain words say too little and are not used.
+names as plain words, for texts that lost their case. Numbers have digits, and a unit is a word of ``UNITS`` after a number.
+The template of a window with fewer than ``literals`` plain words says too little, so such a window is matched by its exact
+values instead. An item may be covered by its templates alone or by all its windows.
 
 The windows of the benchmark are broadcast up to ``broadcast_rows`` of them, a few dozen bytes each; a larger benchmark
 is joined by shuffle, with the same result. Windows of documents that match nothing are never shuffled then.
 
 Defined results: NULL and empty texts match nothing; NULL or empty items are no items; an item shorter than a window is
-one window of all its tokens, and matches a text of these tokens alone; items with equal texts all match; documents with
+one window of all its tokens, and matches these tokens anywhere in a text, were it a single word; items with equal texts all match; documents with
 equal id and text get equal results; empty tables give no matches.
 """
 
@@ -54,6 +55,7 @@ def marked_text(text: Column, names: bool = True) -> Column:
     numbers = F.regexp_replace(
         joined, rf"(?<![\p{{L}}\d{INSIDE}])(\d[\d{INSIDE}]*)(?: ?((?i:{units})|%)(?![\p{{L}}\d]))?", f" {NUMBER}$1 {UNIT}$2 "
     )
+    numbers = F.replace(numbers, F.lit(UNIT + " "), F.lit(""))
     marked = F.when(raw.rlike(r"\d"), numbers).otherwise(raw)
     # the blank comes first in the pattern, so that only blanks are looked at twice
     return F.lower(F.regexp_replace(marked, r" (?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", " " + NAME) if names else marked)
@@ -79,8 +81,14 @@ def _is_slot(token: Column) -> Column:
     return token < INSIDE
 
 
-def windows(texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, names: bool = True) -> DataFrame:
-    """One row per window of ``text``: the columns ``keep``, pos, hash and the slots of the window in order."""
+def windows(
+    texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, names: bool = True, short: tuple[int, ...] = ()
+) -> DataFrame:
+    """One row per window of ``text``: the columns ``keep``, pos, hash and the slots of the window in order.
+
+    Of the benchmark, also n_tokens and whether the hash is that of the exact values; an item shorter than a window is one.
+    Of documents, windows of the lengths ``short`` are added.
+    """
     w = p.window
     marked = texts.withColumn("marked", marked_text(F.col("text"), names))
     slotted = F.col("marked").contains(NAME) | F.col("marked").contains(NUMBER)
@@ -92,24 +100,41 @@ def windows(texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, na
     coded = tokens.withColumn("codes", F.when(F.col("slotted"), template).otherwise(plain_codes))
     codes = F.col("codes")
     n = F.size(codes)
-    runs = F.when(
-        n >= w, F.transform(F.sequence(F.lit(0), n - w), lambda i: F.xxhash64(*[F.get(codes, i + k) for k in range(w)]))
-    ).when(n > 0, F.array(F.xxhash64(codes)))
-    found = F.transform(
-        F.sequence(F.lit(1), F.greatest(n - w + 1, F.lit(1))), lambda i: F.filter(F.slice("tokens", i, w), _is_slot)
-    )
-    dealt = coded.withColumns({"runs": runs, "slots": F.when(F.col("slotted") & (n > 0), found), "n_tokens": n})
-    # the slots travel with their window; texts without slots have none to look up
-    zipped = F.when(
-        F.col("slotted"), F.transform("runs", lambda h, i: F.struct(h.alias("hash"), F.get("slots", i).alias("slots")))
-    ).otherwise(F.transform("runs", lambda h: F.struct(h.alias("hash"), F.lit(None).cast("array<string>").alias("slots"))))
-    rows = dealt.select(*keep, "n_tokens", F.posexplode(zipped).alias("pos", "x"))
-    none = F.array().cast("array<string>")
+    no_slots = F.lit(None).cast("array<string>")
+
+    def made(pos: Column, hash_: Column, length: Column | int) -> Column:
+        """A window; one with too few plain words is known by its exact values, and has no slots."""
+        here = F.filter(F.slice("tokens", pos + 1, length), _is_slot)
+        size = length if isinstance(length, Column) else F.lit(length)
+
+        def by_slots(slots: Column) -> Column:
+            exact = size - F.size(slots) < F.least(F.lit(p.literals), size)
+            values = F.xxhash64(F.lit("exact"), F.slice("tokens", pos + 1, length))
+            fields = [pos.alias("pos"), F.when(exact, values).otherwise(hash_).alias("hash"), F.when(~exact, slots).alias("slots")]
+            return F.struct(*fields, *([exact.alias("exact")] if benchmark else []))
+
+        plain = F.struct(pos.alias("pos"), hash_.alias("hash"), no_slots.alias("slots"), *([F.lit(False).alias("exact")] if benchmark else []))
+        return F.when(F.col("slotted"), F.get(F.transform(F.array(here), by_slots), F.lit(0))).otherwise(plain)
+
+    def of(length: int) -> Column:
+        def at(i: Column) -> Column:
+            if length == w:
+                return made(i, F.xxhash64(*[F.get(codes, i + k) for k in range(w)]), w)
+            return made(i, F.xxhash64(F.slice(codes, i + 1, length)), length)
+
+        return F.when(n >= length, F.transform(F.sequence(F.lit(0), n - length), at))
+
+    every = of(w)
+    if benchmark:
+        every = F.coalesce(every, F.when(n > 0, F.array(made(F.lit(0), F.xxhash64(codes), n))))
+    elif short:
+        none = F.array().cast("array<struct<pos:int,hash:bigint,slots:array<string>>>")
+        every = F.concat(*[F.coalesce(of(length), none) for length in (w, *short)])
+    rows = coded.select(*keep, n.alias("n_tokens"), F.explode(every).alias("x"))
     if not benchmark:
-        return rows.select(*keep, "pos", "x.hash", "x.slots")
-    out = rows.select(*keep, "n_tokens", "pos", "x.hash", F.coalesce("x.slots", none).alias("slots"))
-    plain = F.least("n_tokens", F.lit(w)) - F.size("slots")
-    return out.where(plain >= F.least(F.lit(p.literals), F.col("n_tokens")))
+        return rows.select(*keep, "x.pos", "x.hash", "x.slots")
+    slots = F.coalesce("x.slots", F.array().cast("array<string>")).alias("slots")
+    return rows.select(*keep, "n_tokens", "x.pos", "x.hash", slots, "x.exact")
 
 
 def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> DataFrame:
@@ -120,11 +145,14 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
     known = items.select("item_id", "text")
     both = [windows(known, ["item_id"], p, True, names) for names in (True, False)]
     theirs = stored(both[0].unionByName(both[1]).distinct().withColumnRenamed("slots", "item_slots"), "benchmark")
-    sizes = theirs.groupBy("item_id").agg(F.count_distinct("pos").alias("windows"))
-    side = theirs.select("item_id", F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), "item_slots")
+    # windows by their template alone, and all windows: whichever share is larger counts
+    templates = F.count_distinct(F.when(~F.col("exact"), F.col("pos")))
+    sizes = theirs.groupBy("item_id").agg(templates.alias("templates"), F.count_distinct("pos").alias("all_windows"))
+    side = theirs.select("item_id", F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), "item_slots", "exact")
+    short = tuple(sorted(r.n_tokens for r in theirs.where(F.col("n_tokens") < p.window).select("n_tokens").distinct().collect()))
     if theirs.count() <= p.broadcast_rows:
         side = F.broadcast(side)
-    ours = windows(docs.select(*row_key(F.col("id"), F.col("text")), "text"), ["k1", "k2"], p, False)
+    ours = windows(docs.select(*row_key(F.col("id"), F.col("text")), "text"), ["k1", "k2"], p, False, short=short)
     hits = (
         ours.join(side, F.col("hash") == F.col("item_hash"))
         .withColumn("slots", F.coalesce("slots", F.array().cast("array<string>")))
@@ -133,10 +161,10 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
     # one row per item window and alignment, so a group is never longer than its item
     aligned = (
         hits.groupBy("k1", "k2", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos")
-        .agg(F.max(F.struct("item_slots", "slots")).alias("s"))
+        .agg(F.max(F.struct("item_slots", "slots")).alias("s"), F.min("exact").alias("exact"))
         .groupBy("k1", "k2", "item_id", "shift")
         .agg(
-            F.collect_list("item_pos").alias("hit"),
+            F.collect_list(F.struct("item_pos", "exact")).alias("hit"),
             F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("s.item_slots", "s.slots")))).alias("pairs"),
         )
     )
@@ -145,10 +173,17 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
         "k1", "k2", "item_id", F.exists("pairs", lambda x: x.item_slots != x.slots).alias("changed"), F.explode("hit").alias("hit")
     )
     covered = consistent.groupBy("k1", "k2", "item_id").agg(
-        F.count_distinct("hit").alias("covered"), F.max("changed").alias("changed")
-    )
+        F.count_distinct(F.when(~F.col("hit.exact"), F.col("hit.item_pos"))).alias("c_templates"),
+        F.count_distinct("hit.item_pos").alias("c_all"), F.max("changed").alias("changed"),
+    )
     joined = covered.withColumnRenamed("item_id", "hit_item").join(sizes, F.col("hit_item").eqNullSafe(F.col("item_id")))
-    return joined.where(F.col("covered") >= F.col("windows") * p.coverage).select(
+    by_template = F.col("c_templates") * F.col("all_windows") >= F.col("c_all") * F.col("templates")
+    by_template = (F.col("templates") > 0) & by_template
+    best = joined.withColumns({
+        "covered": F.when(by_template, F.col("c_templates")).otherwise(F.col("c_all")),
+        "windows": F.when(by_template, F.col("templates")).otherwise(F.col("all_windows")),
+    })
+    return best.where(F.col("covered") >= F.col("windows") * p.coverage).select(
         "k1", "k2", "item_id", "covered", "windows", "changed"
     )
 
