@@ -26,12 +26,12 @@ def test_sql(spark, folder, duck, key):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_whole_tables(spark, folder):
     docs = table(spark, folder, "documents").count()
-    for key in ("op1_surrogates", "op2_template_windows", "op4_budget_mix", "op6_license_scan", "op9_interleaving"):
+    for key in ("op1_surrogates", "op2_template_windows", "op4_budget_mix", "op6_license_scan", "op9_interleaving", "op11_fill_in_middle"):
         assert QUERIES[key](spark, folder).count() == docs
     assert QUERIES["op7_wrapper"](spark, folder).count() == table(spark, folder, "pages").count()
 

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from .budget_mix import mixture
 from .common import table
+from .fill_in_middle import rearranged, restored
+from .hard_negatives import hard_negatives, whole_components
 from .interleaving import interleaved
 from .license_scan import full_notices, scan_licenses
 from .line_frequency import line_quality
 from .odd_sketch import NearCopies, near_copies
+from .packing import packed_documents
 from .reply_trees import conversation_digests
 from .surrogates import surrogate_documents
 from .template_windows import decontamination
@@ -80,6 +83,31 @@ def op10_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(conversations.unionByName(added))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    parts = rearranged(table(spark, folder, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return parts.select(
+        "doc_id", "n", "form", F.char_length("prefix").cast("long").alias("prefix_chars"), F.char_length("middle").cast("long").alias("middle_chars"),
+        digest(F.col("output")).alias("output_sha256"), digest(restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(F.col("vec_id").alias("id"), label.alias("label"), whole_components(F.col("embedding")).alias("vector"))
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op13_packing(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    packed = packed_documents(table(spark, folder, "documents"), tokenizer, carry=F.crc32("ids"))
+    return packed.withColumnRenamed("carry", "ids_crc32")
+
+
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
     "op2_template_windows": op2_template_windows,
@@ -91,4 +119,7 @@ QUERIES: dict[str, Query] = {
     "op8_odd_sketch": op8_odd_sketch,
     "op9_interleaving": op9_interleaving,
     "op10_reply_trees": op10_reply_trees,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_packing": op13_packing,
 }

@@ -117,9 +117,63 @@ select conv_id, count(*)::bigint as n_turns,
 from turns group by conv_id
 """
 
+FILL_IN_MIDDLE = r"""
+with h as (
+    select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(doc_id::varchar, '')) as x,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as w
+    from documents
+),
+d as (
+    select doc_id, t, w, len(w) as n, ('0x' || x[1:8])::bigint as h1, ('0x' || x[9:16])::bigint as h2,
+        ('0x' || x[17:24])::bigint as h3, ('0x' || x[25:32])::bigint as h4
+    from h
+),
+p as (
+    select doc_id, t, n,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain'
+            when h4 % 100 < 80 then 'spm' else 'psm' end as form,
+        array_to_string(w[1 : least(h1 % (n + 1), h2 % (n + 1))], '') as a,
+        array_to_string(w[least(h1 % (n + 1), h2 % (n + 1)) + 1 : greatest(h1 % (n + 1), h2 % (n + 1))], '') as b,
+        array_to_string(w[greatest(h1 % (n + 1), h2 % (n + 1)) + 1 :], '') as c
+    from d
+)
+select doc_id, n::bigint as n, form,
+    case when form <> 'plain' then length(a)::bigint end as prefix_chars,
+    case when form <> 'plain' then length(b)::bigint end as middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || a || '<S>' || c || '<M>' || b
+        else '<S>' || c || '<P>' || a || '<M>' || b end) as output_sha256,
+    sha256(t) as restored_sha256
+from p
+"""
+
+HARD_NEGATIVES = """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as x
+    from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.x, b.x)::bigint as score
+    from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+p as (
+    select * from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.vec_id as positive_id,
+    row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id)::int as rank,
+    n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from p join s n on n.anchor_id = p.anchor_id and not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_url_trie": URLS,
     "op5_line_frequency": LINE_FREQUENCY,
     "op8_odd_sketch": NEAR_COPIES,
     "op10_reply_trees": CHATS,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }
