@@ -3,13 +3,15 @@
 Numbers, names and units become typed placeholders, so that a question with other figures or other names keeps its
 template. Windows of ``window`` template tokens of all documents are hash-joined with those of the benchmark. A matched
 window carries the values of its slots on both sides; along one alignment of an item in a document, a value of the item
-must stand for one value of the document throughout, or the alignment does not count. A document is contaminated by an
-item if consistent alignments cover ``coverage`` of the windows of the item.
+must stand for one value of the document: the one that it meets most often. Windows whose slots say otherwise do not
+count, windows without slots always do. A document is contaminated by an item if the windows that count cover
+``coverage`` of the windows of the item, or if ``verbatim`` tokens of it or more follow each other word for word.
 
 Names are capitalised words inside of a sentence (upper case, then lower case). The items are also entered with their
 names as plain words, for texts that lost their case. Numbers have digits, and a unit is a word of ``UNITS`` after a number.
 The template of a window with fewer than ``literals`` plain words says too little, so such a window is matched by its exact
-values instead. An item may be covered by its templates alone or by all its windows.
+values instead. An item may be covered by all its windows, or by its templates alone where these are
+``least_share`` of its windows that count.
 
 The windows of the benchmark are broadcast up to ``broadcast_rows`` of them, a few dozen bytes each; a larger benchmark
 is joined by shuffle, with the same result. Windows of documents that match nothing are never shuffled then.
@@ -44,6 +46,8 @@ class Templates:
     window: int = 5
     literals: int = 3
     coverage: float = 0.5
+    least_share: float = 0.4
+    verbatim: int = 50
     broadcast_rows: int = 2_000_000
 
 
@@ -84,57 +88,57 @@ def _is_slot(token: Column) -> Column:
 def windows(
     texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, names: bool = True, short: tuple[int, ...] = ()
 ) -> DataFrame:
-    """One row per window of ``text``: the columns ``keep``, pos, hash and the slots of the window in order.
+    """One row per window of ``text``: the columns ``keep``, pos and hash, with the tokens of windows that have slots.
 
-    Of the benchmark, also n_tokens and whether the hash is that of the exact values; an item shorter than a window is one.
-    Of documents, windows of the lengths ``short`` are added.
+    Of the benchmark, the slots in order, n_tokens and whether the hash is that of the exact values; an item shorter than a
+    window is one. Of documents, windows of the lengths ``short`` are added.
     """
     w = p.window
     marked = texts.withColumn("marked", marked_text(F.col("text"), names))
     slotted = F.col("marked").contains(NAME) | F.col("marked").contains(NUMBER)
     parts = marked.withColumns({"parts": _split(F.col("marked")), "slotted": slotted})
     tokens = parts.withColumn("tokens", _full(F.col("parts")))
-    # a hash for each token, that of the marker for slots
-    template = F.transform("tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
-    plain_codes = F.transform("tokens", lambda t: F.xxhash64(t))
-    coded = tokens.withColumn("codes", F.when(F.col("slotted"), template).otherwise(plain_codes))
+    # a hash for each token, that of the marker for slots; its last bit says which
+    literal = lambda t: F.xxhash64(t).bitwiseAND(F.lit(-2))
+    slot = lambda t: F.xxhash64(F.substring(t, 1, 1)).bitwiseOR(F.lit(1))
+    mixed = F.transform("tokens", lambda t: F.when(_is_slot(t), slot(t)).otherwise(literal(t)))
+    coded = tokens.withColumn("codes", F.when(F.col("slotted"), mixed).otherwise(F.transform("tokens", literal)))
     codes = F.col("codes")
     n = F.size(codes)
-    no_slots = F.lit(None).cast("array<string>")
-
-    def made(pos: Column, hash_: Column, length: Column | int) -> Column:
-        """A window; one with too few plain words is known by its exact values, and has no slots."""
-        here = F.filter(F.slice("tokens", pos + 1, length), _is_slot)
-        size = length if isinstance(length, Column) else F.lit(length)
-
-        def by_slots(slots: Column) -> Column:
-            exact = size - F.size(slots) < F.least(F.lit(p.literals), size)
-            values = F.xxhash64(F.lit("exact"), F.slice("tokens", pos + 1, length))
-            fields = [pos.alias("pos"), F.when(exact, values).otherwise(hash_).alias("hash"), F.when(~exact, slots).alias("slots")]
-            return F.struct(*fields, *([exact.alias("exact")] if benchmark else []))
-
-        plain = F.struct(pos.alias("pos"), hash_.alias("hash"), no_slots.alias("slots"), *([F.lit(False).alias("exact")] if benchmark else []))
-        return F.when(F.col("slotted"), F.get(F.transform(F.array(here), by_slots), F.lit(0))).otherwise(plain)
 
     def of(length: int) -> Column:
+        """Windows of this length: place, hash of the template, and in a text with slots their number and all tokens."""
+
         def at(i: Column) -> Column:
-            if length == w:
-                return made(i, F.xxhash64(*[F.get(codes, i + k) for k in range(w)]), w)
-            return made(i, F.xxhash64(F.slice(codes, i + 1, length)), length)
+            here = [F.get(codes, i + k) for k in range(length)]
+            slots = sum((x.bitwiseAND(F.lit(1)) for x in here[1:]), here[0].bitwiseAND(F.lit(1)))
+            return F.struct(
+                i.alias("pos"), F.xxhash64(*here).alias("hash"), F.when(F.col("slotted"), slots).otherwise(F.lit(0)).alias("n_slots"),
+                F.when(F.col("slotted"), F.slice("tokens", i + 1, length)).alias("run"), F.lit(length).alias("length"),
+            )
 
         return F.when(n >= length, F.transform(F.sequence(F.lit(0), n - length), at))
 
-    every = of(w)
+    none = F.array().cast("array<struct<pos:int,hash:bigint,n_slots:bigint,run:array<string>,length:int>>")
     if benchmark:
-        every = F.coalesce(every, F.when(n > 0, F.array(made(F.lit(0), F.xxhash64(codes), n))))
-    elif short:
-        none = F.array().cast("array<struct<pos:int,hash:bigint,slots:array<string>>>")
-        every = F.concat(*[F.coalesce(of(length), none) for length in (w, *short)])
-    rows = coded.select(*keep, n.alias("n_tokens"), F.explode(every).alias("x"))
+        every = of(w)
+        for length in range(1, w):
+            every = F.coalesce(every, F.when(n == length, of(length)))
+        every = F.coalesce(every, none)
+    else:
+        every = F.concat(*[F.coalesce(of(length), none) for length in (w, *short)]) if short else of(w)
+    x = coded.select(*keep, n.alias("n_tokens"), F.explode(every).alias("x")).select(*keep, "n_tokens", "x.*")
+    # a window with too few plain words is known by its exact values, and has no slots
+    exact = (F.col("n_slots") > 0) & (F.col("length") - F.col("n_slots") < F.least(F.lit(p.literals), F.col("length")))
+    hash_ = F.when(exact, F.xxhash64(F.lit("exact"), "run")).otherwise(F.col("hash")).alias("hash")
+    run = F.when((F.col("n_slots") > 0) & ~exact, F.col("run")).alias("run")
     if not benchmark:
-        return rows.select(*keep, "x.pos", "x.hash", "x.slots")
-    slots = F.coalesce("x.slots", F.array().cast("array<string>")).alias("slots")
-    return rows.select(*keep, "n_tokens", "x.pos", "x.hash", slots, "x.exact")
+        return x.select(*keep, "pos", hash_, run)
+    return x.select(*keep, "n_tokens", "pos", hash_, _slots(run).alias("slots"), exact.alias("exact"))
+
+
+def _slots(run: Column) -> Column:
+    return F.coalesce(F.filter(run, _is_slot), F.array().cast("array<string>"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> DataFrame:
@@ -155,7 +159,7 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
     ours = windows(docs.select(*row_key(F.col("id"), F.col("text")), "text"), ["k1", "k2"], p, False, short=short)
     hits = (
         ours.join(side, F.col("hash") == F.col("item_hash"))
-        .withColumn("slots", F.coalesce("slots", F.array().cast("array<string>")))
+        .withColumn("slots", _slots(F.col("run")))
         .where(F.size("slots") == F.size("item_slots"))
     )
     # one row per item window and alignment, so a group is never longer than its item
@@ -163,27 +167,43 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
         hits.groupBy("k1", "k2", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos")
         .agg(F.max(F.struct("item_slots", "slots")).alias("s"), F.min("exact").alias("exact"))
         .groupBy("k1", "k2", "item_id", "shift")
-        .agg(
-            F.collect_list(F.struct("item_pos", "exact")).alias("hit"),
-            F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("s.item_slots", "s.slots")))).alias("pairs"),
-        )
-    )
-    values = F.array_distinct(F.transform("pairs", lambda x: x.item_slots))
-    consistent = aligned.where(F.size(values) == F.size("pairs")).select(
-        "k1", "k2", "item_id", F.exists("pairs", lambda x: x.item_slots != x.slots).alias("changed"), F.explode("hit").alias("hit")
+        .agg(F.collect_list(F.struct("item_pos", "exact", F.arrays_zip("s.item_slots", "s.slots").alias("pairs"))).alias("hit"))
     )
+    pairs = aligned.withColumn("pairs", F.flatten(F.transform("hit", lambda h: h.pairs)))
+
+    def bound(name: Column) -> Column:
+        """What a value of the item stands for: the value it meets most often, on a tie itself, then the last one."""
+        own = F.filter("pairs", lambda x: x.item_slots == name)
+        times = lambda v: F.size(F.filter(own, lambda x: x.slots == v))
+        met = F.array_distinct(F.transform(own, lambda x: x.slots))
+        best = F.array_max(F.transform(met, lambda v: F.struct(times(v).alias("n"), (v == name).alias("same"), v.alias("v"))))
+        return F.struct(name, best.v)
+
+    names = F.array_distinct(F.transform("pairs", lambda x: x.item_slots))
+    with_binding = pairs.withColumn("binding", F.map_from_entries(F.transform(names, bound)))
+    counted = F.filter("hit", lambda h: F.forall(h.pairs, lambda x: F.element_at("binding", x.item_slots) == x.slots))
+    kept = with_binding.withColumn("hit", counted).where(F.size("hit") > 0)
+    # windows in a row have one difference of place and number
+    same = F.filter("hit", lambda h: F.forall(h.pairs, lambda x: x.item_slots == x.slots))
+    rows = F.transform(F.array_sort(F.transform(same, lambda h: h.item_pos)), lambda x, i: x - i)
+    longest = F.array_max(F.transform(F.array_distinct("rows"), lambda r: F.size(F.filter("rows", lambda x: x == r))))
+    consistent = kept.withColumn("rows", rows).select(
+        "k1", "k2", "item_id", F.exists("hit", lambda h: F.exists(h.pairs, lambda x: x.item_slots != x.slots)).alias("changed"),
+        F.coalesce(longest, F.lit(0)).alias("in_a_row"), F.explode("hit").alias("hit"),
+    )
     covered = consistent.groupBy("k1", "k2", "item_id").agg(
         F.count_distinct(F.when(~F.col("hit.exact"), F.col("hit.item_pos"))).alias("c_templates"),
-        F.count_distinct("hit.item_pos").alias("c_all"), F.max("changed").alias("changed"),
+        F.count_distinct("hit.item_pos").alias("c_all"), F.max("changed").alias("changed"), F.max("in_a_row").alias("in_a_row"),
     )
     joined = covered.withColumnRenamed("item_id", "hit_item").join(sizes, F.col("hit_item").eqNullSafe(F.col("item_id")))
     by_template = F.col("c_templates") * F.col("all_windows") >= F.col("c_all") * F.col("templates")
-    by_template = (F.col("templates") > 0) & by_template
+    by_template = (F.col("templates") > 0) & by_template & (F.col("c_all") >= F.col("all_windows") * p.least_share)
     best = joined.withColumns({
         "covered": F.when(by_template, F.col("c_templates")).otherwise(F.col("c_all")),
         "windows": F.when(by_template, F.col("templates")).otherwise(F.col("all_windows")),
     })
-    return best.where(F.col("covered") >= F.col("windows") * p.coverage).select(
+    verbatim = (F.col("in_a_row") > 0) & (F.col("in_a_row") + p.window - 1 >= p.verbatim)
+    return best.where((F.col("covered") >= F.col("windows") * p.coverage) | verbatim).select(
         "k1", "k2", "item_id", "covered", "windows", "changed"
     )
 
