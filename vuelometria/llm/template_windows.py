@@ -13,8 +13,9 @@ The template of a window with fewer than ``literals`` plain words says too littl
 values instead. An item may be covered by all its windows, or by its templates alone where these are
 ``least_share`` of its windows that count.
 
-The windows of the benchmark are broadcast up to ``broadcast_rows`` of them, a few dozen bytes each; a larger benchmark
-is joined by shuffle, with the same result. Windows of documents that match nothing are never shuffled then.
+The windows of the benchmark are broadcast up to ``broadcast_rows`` of them, a few dozen bytes each, and their hashes go
+to the Python workers, which hash the windows of documents and return those that match. A larger benchmark is joined by
+shuffle, with the same result.
 
 Defined results: NULL and empty texts match nothing; NULL or empty items are no items; an item shorter than a window is
 one window of all its tokens, and matches these tokens anywhere in a text, were it a single word; items with equal texts all match; documents with
@@ -25,6 +26,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +49,7 @@ class Templates:
     window: int = 5
     literals: int = 3
     coverage: float = 0.5
-    least_share: float = 0.4
+    least_share: float = 0.3
     verbatim: int = 50
     broadcast_rows: int = 2_000_000
 
@@ -85,60 +88,104 @@ def _is_slot(token: Column) -> Column:
     return token < INSIDE
 
 
+def _codes(tokens: Column, slotted: Column) -> Column:
+    """A number per token; its last two bits are 0, or tell the kind of a slot, which is its marker."""
+    plain = lambda t: F.xxhash64(t).bitwiseAND(F.lit(-4))
+    kind = lambda t: F.when(_is_slot(t), F.ascii(t)).otherwise(0).cast("long")
+    return F.when(slotted, F.transform(tokens, lambda t: plain(t).bitwiseOR(kind(t)))).otherwise(F.transform(tokens, plain))
+
+
+def _mixed(seed: int, parts: list[np.ndarray]) -> np.ndarray:
+    out = np.full(len(parts[0]), seed, np.uint64)
+    for x in parts:
+        out = (out ^ x) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(31)
+    return out.view(np.int64)
+
+
+def window_hashes(codes: np.ndarray, stops: np.ndarray, length: int, literals: int) -> tuple[np.ndarray, ...]:
+    """(start, hash, slots, exact) of the windows of ``length`` tokens inside of texts that end at ``stops``."""
+    codes = codes.view(np.uint64)
+    inside = np.ones(max(len(codes) - length + 1, 0), bool)
+    for k in range(1, length):
+        late = stops - k
+        inside[late[(late >= 0) & (late < len(inside))]] = False
+    start = np.flatnonzero(inside)
+    kinds = codes & np.uint64(3)
+    templates = np.where(kinds > 0, kinds, codes)
+    slots = (kinds > 0).astype(np.int32)
+    n_slots = sum(slots[start + k] for k in range(length))
+    hashes = _mixed(length, [templates[start + k] for k in range(length)])
+    # a window with too few plain words is known by its exact values
+    exact = (n_slots > 0) & (length - n_slots < min(literals, length))
+    at = start[exact]
+    hashes[exact] = _mixed(length + 64, [codes[at + k] for k in range(length)]) if len(at) else 0
+    return start, hashes, n_slots, exact
+
+
+def _windows_udf(p: Templates, short: tuple[int, ...], known: np.ndarray | None, whole: bool):
+    """All windows of each text, or those with a hash in ``known``; with ``whole`` a text shorter than a window is one."""
+    # a table of the first bits of the known hashes leaves few windows to look up
+    first = np.zeros(1 << 16, bool)
+    if known is not None:
+        first[known.view(np.uint64) >> np.uint64(48)] = True
+
+    @F.arrow_udf("array<struct<pos:int,hash:bigint,n_slots:int,exact:boolean,length:int>>")
+    def found(arrays: pa.Array) -> pa.Array:
+        codes = arrays.flatten().to_numpy(zero_copy_only=False)
+        sizes = np.diff(arrays.offsets.to_numpy(zero_copy_only=False))
+        stops = np.cumsum(sizes, dtype=np.int64)
+        rows = []
+        for length in (*range(1, p.window), p.window) if whole else (p.window, *short):
+            start, hashes, n_slots, exact = window_hashes(codes, stops, length, p.literals)
+            text = np.searchsorted(stops, start, side="right")
+            if known is not None:
+                keep = np.flatnonzero(first[hashes.view(np.uint64) >> np.uint64(48)])
+                keep = keep[np.isin(hashes[keep], known)]
+            elif whole and length < p.window:
+                keep = np.flatnonzero(sizes[text] == length)
+            else:
+                keep = slice(None)
+            parts = (text, start - (stops - sizes)[text], hashes, n_slots, exact, np.full(len(start), length))
+            rows.append([x[keep] for x in parts])
+        text, pos, hashes, n_slots, exact, length = (np.concatenate(x) for x in zip(*rows))
+        order = np.lexsort((pos, text))
+        fields = [pa.array(x[order].astype(t)) for x, t in ((pos, np.int32), (hashes, np.int64), (n_slots, np.int32), (exact, bool), (length, np.int32))]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(arrays)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, ["pos", "hash", "n_slots", "exact", "length"]))
+
+    return found
+
+
 def windows(
-    texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, names: bool = True, short: tuple[int, ...] = ()
-) -> DataFrame:
-    """One row per window of ``text``: the columns ``keep``, pos and hash, with the tokens of windows that have slots.
+    texts: DataFrame, keep: list[str], p: Templates, benchmark: bool, names: bool = True, short: tuple[int, ...] = (),
+    known: np.ndarray | None = None,
+) -> DataFrame:
+    """One row per window of ``text``: the columns ``keep``, pos, hash and the slots of the window in order.
 
-    Of the benchmark, the slots in order, n_tokens and whether the hash is that of the exact values; an item shorter than a
-    window is one. Of documents, windows of the lengths ``short`` are added.
+    Of the benchmark, also n_tokens and whether the hash is that of the exact values; an item shorter than a window is
+    one. Of documents, windows of the lengths ``short`` are added, and with ``known`` only windows with a hash in it are made.
     """
-    w = p.window
-    marked = texts.withColumn("marked", marked_text(F.col("text"), names))
-    slotted = F.col("marked").contains(NAME) | F.col("marked").contains(NUMBER)
-    parts = marked.withColumns({"parts": _split(F.col("marked")), "slotted": slotted})
-    tokens = parts.withColumn("tokens", _full(F.col("parts")))
-    # a hash for each token, that of the marker for slots; its last bit says which
-    literal = lambda t: F.xxhash64(t).bitwiseAND(F.lit(-2))
-    slot = lambda t: F.xxhash64(F.substring(t, 1, 1)).bitwiseOR(F.lit(1))
-    mixed = F.transform("tokens", lambda t: F.when(_is_slot(t), slot(t)).otherwise(literal(t)))
-    coded = tokens.withColumn("codes", F.when(F.col("slotted"), mixed).otherwise(F.transform("tokens", literal)))
-    codes = F.col("codes")
-    n = F.size(codes)
-
-    def of(length: int) -> Column:
-        """Windows of this length: place, hash of the template, and in a text with slots their number and all tokens."""
-
-        def at(i: Column) -> Column:
-            here = [F.get(codes, i + k) for k in range(length)]
-            slots = sum((x.bitwiseAND(F.lit(1)) for x in here[1:]), here[0].bitwiseAND(F.lit(1)))
-            return F.struct(
-                i.alias("pos"), F.xxhash64(*here).alias("hash"), F.when(F.col("slotted"), slots).otherwise(F.lit(0)).alias("n_slots"),
-                F.when(F.col("slotted"), F.slice("tokens", i + 1, length)).alias("run"), F.lit(length).alias("length"),
-            )
-
-        return F.when(n >= length, F.transform(F.sequence(F.lit(0), n - length), at))
-
-    none = F.array().cast("array<struct<pos:int,hash:bigint,n_slots:bigint,run:array<string>,length:int>>")
-    if benchmark:
-        every = of(w)
-        for length in range(1, w):
-            every = F.coalesce(every, F.when(n == length, of(length)))
-        every = F.coalesce(every, none)
-    else:
-        every = F.concat(*[F.coalesce(of(length), none) for length in (w, *short)]) if short else of(w)
-    x = coded.select(*keep, n.alias("n_tokens"), F.explode(every).alias("x")).select(*keep, "n_tokens", "x.*")
-    # a window with too few plain words is known by its exact values, and has no slots
-    exact = (F.col("n_slots") > 0) & (F.col("length") - F.col("n_slots") < F.least(F.lit(p.literals), F.col("length")))
-    hash_ = F.when(exact, F.xxhash64(F.lit("exact"), "run")).otherwise(F.col("hash")).alias("hash")
-    run = F.when((F.col("n_slots") > 0) & ~exact, F.col("run")).alias("run")
-    if not benchmark:
-        return x.select(*keep, "pos", hash_, run)
-    return x.select(*keep, "n_tokens", "pos", hash_, _slots(run).alias("slots"), exact.alias("exact"))
-
-
-def _slots(run: Column) -> Column:
-    return F.coalesce(F.filter(run, _is_slot), F.array().cast("array<string>"))
+
+    def tokens(df: DataFrame) -> DataFrame:
+        marked = df.withColumn("marked", marked_text(F.col("text"), names))
+        slotted = F.col("marked").contains(NAME) | F.col("marked").contains(NUMBER)
+        parts = marked.withColumns({"parts": _split(F.col("marked")), "slotted": slotted})
+        return parts.withColumn("tokens", _full(F.col("parts")))
+
+    find = _windows_udf(p, short, known, benchmark)
+    coded = tokens(texts).select(*keep, "text", _codes(F.col("tokens"), F.col("slotted")).alias("codes"))
+    found = coded.select(*keep, "text", find("codes").alias("found")).where(F.size("found") > 0)
+    # tokens are made again, of texts with a window only, as they would cost more to keep
+    again = tokens(found).withColumn("n_tokens", F.size("tokens"))
+
+    def with_slots(x: Column) -> Column:
+        slots = F.filter(F.slice("tokens", x.pos + 1, x.length), _is_slot)
+        own = F.when((x.n_slots > 0) & ~x.exact, slots).otherwise(F.array().cast("array<string>"))
+        return F.struct(x.pos.alias("pos"), x.hash.alias("hash"), x.exact.alias("exact"), own.alias("slots"))
+
+    x = again.select(*keep, "n_tokens", F.explode(F.transform("found", with_slots)).alias("x"))
+    return x.select(*keep, *(["n_tokens", "x.exact"] if benchmark else []), "x.pos", "x.hash", "x.slots")
 
 
 def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> DataFrame:
@@ -154,12 +201,13 @@ def leaks(docs: DataFrame, items: DataFrame, p: Templates = Templates()) -> Data
     sizes = theirs.groupBy("item_id").agg(templates.alias("templates"), F.count_distinct("pos").alias("all_windows"))
     side = theirs.select("item_id", F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), "item_slots", "exact")
     short = tuple(sorted(r.n_tokens for r in theirs.where(F.col("n_tokens") < p.window).select("n_tokens").distinct().collect()))
+    known = None
     if theirs.count() <= p.broadcast_rows:
         side = F.broadcast(side)
-    ours = windows(docs.select(*row_key(F.col("id"), F.col("text")), "text"), ["k1", "k2"], p, False, short=short)
+        known = np.sort(np.array([r.hash for r in theirs.select("hash").distinct().collect()], np.int64))
+    ours = windows(docs.select(*row_key(F.col("id"), F.col("text")), "text"), ["k1", "k2"], p, False, short=short, known=known)
     hits = (
         ours.join(side, F.col("hash") == F.col("item_hash"))
-        .withColumn("slots", _slots(F.col("run")))
         .where(F.size("slots") == F.size("item_slots"))
     )
     # one row per item window and alignment, so a group is never longer than its item
