@@ -173,7 +173,8 @@ def windows(
         parts = marked.withColumns({"parts": _split(F.col("marked")), "slotted": slotted})
         return parts.withColumn("tokens", _full(F.col("parts")))
 
-    find = _windows_udf(p, short, known, benchmark)
+    # as if not deterministic, or the filter on what it finds would have it run twice
+    find = _windows_udf(p, short, known, benchmark).asNondeterministic()
     coded = tokens(texts).select(*keep, "text", _codes(F.col("tokens"), F.col("slotted")).alias("codes"))
     found = coded.select(*keep, "text", find("codes").alias("found")).where(F.size("found") > 0)
     # tokens are made again, of texts with a window only, as they would cost more to keep
