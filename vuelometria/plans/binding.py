@@ -12,6 +12,7 @@ from functools import cached_property, partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.bitmaps import Codes, codes_of
 from . import daily, facts, marts, staging
 
 # Columns the binding uses. Given schemas save the reader a look into the files.
@@ -212,9 +213,23 @@ class BoundTables:
     def stg_delays(self) -> DataFrame:
         return staging.stg_delays(self.delays)
 
+    @cached_property
+    def flight_codes(self) -> Mapping[str, Codes]:
+        """The small tables are the dictionaries of the codes."""
+        airlines = self.source("supplier").select(
+            F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("value"), F.col("s_suppkey").alias("code")
+        )
+        airports = self.source("nation").select(F.col("n_name").alias("value"), F.col("n_nationkey").cast("long").alias("code"))
+        of_airports = codes_of(airports)
+        return {"airline_iata": codes_of(airlines), "departure_iata": of_airports, "arrival_iata": of_airports}
+
+    @cached_property
+    def flight_state(self) -> DataFrame:
+        return daily.flight_state(self.stg_flights, self.flight_codes)
+
     @cached_property
     def int_flights_daily(self) -> DataFrame:
-        return daily.int_flights_daily(self.stg_flights)
+        return daily.flights_daily_from_state(self.flight_state)
 
     @cached_property
     def int_weather_daily(self) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import count_where, pct, round_n
+from ..functions.numeric import count_where, pct, ratio, round_n
+from ..operators.bitmaps import Codes, daily_state, distinct_over
 from ..operators.groups import mode_per_group
 from .rollups import WEATHER_CLASSES, WEATHER_MEANS, class_label, daily_weather_rollup, mean_of
 
@@ -47,13 +50,62 @@ def flight_diversity(stg_flights: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def int_flights_daily(stg_flights: DataFrame, approx: bool = False) -> DataFrame:
-    """One row per date.
+#: columns with codes that are counted per date, and the names of their counts
+FLIGHT_CODES = {
+    "airline_iata": "num_aerolineas", "departure_iata": "num_aeropuertos_origen", "arrival_iata": "num_aeropuertos_destino",
+}
+
+
+def flight_state(stg_flights: DataFrame, codes: Mapping[str, Codes]) -> DataFrame:
+    """All of the daily flight table that can be added up, and bitmaps of its codes, in one pass over the records.
 
-    Spark repeats every row once per distinct count, along with the input of all other
+    ``codes`` has a dictionary for each of ``FLIGHT_CODES``.
+    """
+    status, severity = F.col("flight_status"), F.col("severidad_retraso")
+    additive = {
+        "total_vuelos": F.count(F.lit(1)),
+        **{f"vuelos_{n}": count_where(status == s) for n, s in (
+            ("completados", "completado"), ("cancelados", "cancelado"), ("programados", "programado"), ("en_vuelo", "en_vuelo")
+        )},
+        "vuelos_con_retraso": count_where(F.col("tiene_retraso")),
+        **{f"retrasos_{n}": count_where(severity == s) for n, s in (
+            ("menores", "menor"), ("moderados", "moderado"), ("severos", "severo"), ("criticos", "critico")
+        )},
+        **{f"{a}_{n}": f(f"{n}_delay_min") for n in ("departure", "arrival") for a, f in (("sum", F.sum), ("num", F.count))},
+        "max_retraso_salida_min": F.max("departure_delay_min"),
+    }
+    return daily_state(stg_flights, ["flight_date"], {c: codes[c] for c in FLIGHT_CODES}, additive)
+
+
+def flights_daily_from_state(state: DataFrame) -> DataFrame:
+    """The daily flight table from :func:`flight_state`; without a shuffle while a dictionary fits in one bitmap."""
+    counts = ("total_vuelos", "vuelos_completados", "vuelos_cancelados", "vuelos_programados", "vuelos_en_vuelo", "vuelos_con_retraso",
+              "retrasos_menores", "retrasos_moderados", "retrasos_severos", "retrasos_criticos")
+    sums = [F.sum(c).alias(c) for c in counts]
+    means = [
+        round_n(ratio(F.sum(f"sum_{n}"), F.sum(f"num_{n}")), 1).alias(alias)
+        for n, alias in (("departure", "avg_retraso_salida_min"), ("arrival", "avg_retraso_llegada_min"))
+    ]
+    single = not any(c.startswith("bucket_") for c in state.columns)
+    distinct = [F.bitmap_count(F.bitmap_or_agg(f"bitmap_{c}")).alias(name) for c, name in FLIGHT_CODES.items()] if single else []
+    volumes = state.groupBy("flight_date").agg(
+        *sums, *means, F.max("max_retraso_salida_min").alias("max_retraso_salida_min"), *distinct
+    ).withColumns({
+        "pct_vuelos_con_retraso": pct("vuelos_con_retraso", "total_vuelos"),
+        "pct_vuelos_completados": pct("vuelos_completados", "total_vuelos"),
+    })
+    return volumes if single else volumes.join(distinct_over(state, ["flight_date"], FLIGHT_CODES), "flight_date")
+
+
+def int_flights_daily(stg_flights: DataFrame, approx: bool = False, codes: Mapping[str, Codes] | None = None) -> DataFrame:
+    """One row per date. With dictionaries of the codes the records are read once, see :func:`flight_state`.
+
+    Without them, Spark repeats every row once per distinct count, along with the input of all other
     aggregates in the same ``agg``. Kept apart, only the three narrow code columns are
     repeated; both halves end up partitioned by date, so joining them needs no shuffle.
     """
+    if codes is not None:
+        return flights_daily_from_state(flight_state(stg_flights, codes))
     return flight_volumes(stg_flights).join(flight_diversity(stg_flights, approx), "flight_date")
 
 

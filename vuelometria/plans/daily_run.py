@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.bitmaps import Codes, codes_of, new_codes
+from ..session import scratch_dir
 from ..sources.schemas import PARTITION, PROCESSED
 from ..sources.tables import balanced, materialize, read_processed, write_partitioned
 from ..streaming.ingest import FEEDS, FeedError, FeedPaths, FeedReport, run_feeds
@@ -74,6 +76,21 @@ def replace_dates(fresh: DataFrame, path: str, column: str, dates: Sequence[date
     return spark.read.schema(fresh.schema).parquet(path)
 
 
+def dictionary(values: DataFrame, path: str) -> Codes:
+    """The dictionary at ``path``, with codes for new values appended."""
+    spark, schema = values.sparkSession, "value string, code bigint"
+    try:
+        known = spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        known = None
+    new = materialize(new_codes(values, known), scratch_dir(spark, "codes"))
+    if known is None or not new.isEmpty():
+        new.write.mode("append").parquet(path)
+    return codes_of(spark.read.schema(schema).parquet(path))
+
+
 def run_models(
     spark: SparkSession,
     processed: str,
@@ -101,9 +118,17 @@ def run_models(
     def keep(name: str, fresh: DataFrame, feed: str) -> DataFrame:
         return replace_dates(fresh, f"{curated}/{name}", PARTITION[feed], changed[feed])
 
-    flights_daily = keep("int_flights_daily", daily.int_flights_daily(stg_f), "flights")
     airlines = keep("rollup_aerolinea", rollups.airline_rollup(stg_f), "flights")
     routes = keep("rollup_ruta", rollups.route_rollup(stg_f), "flights")
+    # codes come from the rollups of the changed dates, so the records are read once more, for everything per date
+    new_routes = only(routes, "flight_date", changed["flights"])
+    ends = [new_routes.select(F.col(c).alias("value")) for c in ("departure_iata", "arrival_iata")]
+    of_airlines = dictionary(only(airlines, "flight_date", changed["flights"]).select("airline_iata"), f"{curated}/dict_aerolinea")
+    of_airports = dictionary(ends[0].unionByName(ends[1]), f"{curated}/dict_aeropuerto")
+    codes = {"airline_iata": of_airlines, "departure_iata": of_airports, "arrival_iata": of_airports}
+    state = keep("rollup_vuelos", daily.flight_state(stg_f, codes), "flights")
+    new_state = only(state, "flight_date", changed["flights"])
+    flights_daily = keep("int_flights_daily", daily.flights_daily_from_state(new_state), "flights")
     measured = keep("rollup_clima", rollups.daily_weather_rollup(stg_w), "weather")
     incidents_daily = keep("int_delays_daily", daily.int_delays_daily(stg_d), "delays")
 

@@ -18,6 +18,9 @@ from ..sources.tables import BATCH, write_partitioned
 
 FEEDS = ("flights", "weather", "delays")
 
+#: file times and the clock of the driver may differ by this much
+CLOCK_SLACK_MINUTES = 60
+
 
 @dataclass(frozen=True)
 class FeedReport:
@@ -78,30 +81,45 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _append_once(df: DataFrame, path: str, by: str, ledger: str, batch: str, balance: bool) -> int:
     """Appends a batch exactly once, also when an earlier attempt died half-way.
 
-    A note in the ledger precedes the write. If it is there already, rows of the earlier attempt may be in the table:
-    the dates of the batch are then written anew from the other rows and the batch. Returns the number of rows.
+    A note in the ledger precedes the write. If it is there already, rows of the earlier attempt may be in the table, also
+    on dates that the batch does not have any more, as its files may have changed. Only files written since the note can
+    hold them, so these tell the dates of the earlier attempt; they and the dates of the batch are written anew from the
+    other rows and the batch, and the other dates are not read. Returns the number of rows.
     """
     spark, note = df.sparkSession, f"{ledger}/{batch}"
     seen = Observation()
     rows = df.withColumn(BATCH, F.lit(batch)).observe(seen, F.count(F.lit(1)).alias("rows"))
     if not _exists(spark, note):
-        spark.range(1).select(F.col("id").alias("n")).write.mode("overwrite").parquet(note)
+        spark.range(1).select(F.col("id").alias("n"), F.current_timestamp().alias("at")).write.mode("overwrite").parquet(note)
         write_partitioned(rows, path, by, balance=balance)
         return seen.get["rows"]
     fresh = scratch_dir(spark, "retry")
     rows.write.parquet(fresh)
     again = spark.read.schema(rows.schema).parquet(fresh)
+    emptied: list = []
     if _exists(spark, path):
         table = spark.read.schema(rows.schema).parquet(path)
-        others = table.join(again.select(by).distinct().withColumnRenamed(by, "__d"), F.col(by).eqNullSafe(F.col("__d")), "left_semi")
-        others = others.where(~F.col(BATCH).eqNullSafe(F.lit(batch)))
+        started = F.lit(spark.read.schema("at timestamp").parquet(note).first()["at"]) - F.expr(f"interval {CLOCK_SLACK_MINUTES} minutes")
+        earlier = table.where((F.col("_metadata.file_modification_time") >= started) & (F.col(BATCH) == batch))
+        # values of the partition column, bounded by the calendar
+        dates = {r[0] for df in (earlier, again) for r in df.select(by).distinct().collect()}
+        literal = F.col(by).isin([d for d in dates if d is not None])
+        others = table.where(literal | F.col(by).isNull() if None in dates else literal).where(~F.col(BATCH).eqNullSafe(F.lit(batch)))
         kept = scratch_dir(spark, "retry")
         others.write.parquet(kept)
         again = again.unionByName(spark.read.schema(rows.schema).parquet(kept))
+        emptied = [d for d in dates if d is not None and d not in {r[0] for r in again.select(by).distinct().collect()}]
     write_partitioned(again, path, by, mode="overwrite", balance=balance)
+    for date_ in emptied:  # dates of the earlier attempt alone, which an overwrite by date does not touch
+        _delete(spark, f"{path}/{by}={date_}")
     return seen.get["rows"]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def start_feed(
     spark: SparkSession,
     feed: str,
