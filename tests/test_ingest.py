@@ -150,6 +150,42 @@ def test_a_batch_that_died_after_its_write_is_not_doubled(spark, tmp_path):
     assert tables.read_processed(spark, paths.processed, "delays").count() == 5
 
 
+def test_a_retry_on_other_dates_with_a_changed_file_is_exact(spark, tmp_path):
+    # no date in the name of the pull: its rows get the date of the run
+    old = [{**INCIDENT, "id": i} for i in range(3)]
+    put(tmp_path, "delays", "kept_2026-03-01_17-00-00.json", old)
+    place = paths_of(tmp_path, "delays")
+    ingest_incremental(spark, "delays", place, as_of="2026-03-01")
+    put(tmp_path, "delays", "pull.json", [{**INCIDENT, "id": i} for i in range(10, 15)])
+    put(tmp_path, "delays", "more_2026-03-01_18-00-00.json", [{**INCIDENT, "id": 20}])
+    assert ingest_incremental(spark, "delays", place, as_of="2026-04-01") == 6
+    for commit in (tmp_path / "ck/delays/commits").glob("*1*"):
+        commit.unlink()
+    put(tmp_path, "delays", "pull.json", [{**INCIDENT, "id": i} for i in range(11, 16)])
+    assert ingest_incremental(spark, "delays", place, as_of="2026-04-02") == 6
+    rows = spark.read.parquet(f"{place.processed}").select("incident_id", "report_date").collect()
+    assert sorted((r.incident_id, str(r.report_date)) for r in rows) == sorted(
+        [(i, "2026-03-01") for i in (0, 1, 2, 20)] + [(i, "2026-04-02") for i in range(11, 16)]
+    )
+
+
+def test_a_retry_reads_only_the_dates_concerned(spark, tmp_path, monkeypatch):
+    from vuelometria.streaming import ingest
+
+    schema = "incident_id long, report_date date"
+    history = spark.range(40).selectExpr("id as incident_id", "date_add(date'2026-01-01', cast(id as int)) as report_date")
+    path, ledger = str(tmp_path / "t"), str(tmp_path / "ledger")
+    ingest._append_once(history, path, "report_date", ledger, "batch-0", True)
+    rows = spark.createDataFrame([(99, datetime.date(2026, 1, 3))], schema)
+    ingest._append_once(rows, path, "report_date", ledger, "batch-1", True)
+    seen = []
+    stored = ingest.scratch_dir
+    monkeypatch.setattr(ingest, "scratch_dir", lambda spark, label: seen.append(stored(spark, label)) or seen[-1])
+    ingest._append_once(rows, path, "report_date", ledger, "batch-1", True)
+    assert spark.read.parquet(seen[1]).select("incident_id").collect() == [(2,)]
+    assert spark.read.parquet(path).count() == 41
+
+
 def test_ids_of_64_bits(spark, tmp_path):
     put(tmp_path, "delays", "d.json", [{"userId": 2**40, "id": 2**60}, {"userId": "7", "id": 8.0}, {"userId": "x", "id": None}])
     rows = raw.flatten_delays(raw.read_delays_raw(spark, str(tmp_path / "raw/delays"))).select("user_id", "incident_id").collect()
