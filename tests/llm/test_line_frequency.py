@@ -1,7 +1,11 @@
 import random
 
+import duckdb
+
 from tests.llm.helpers import docs_frame, words
+from vuelometria.checks.compare import differences
 from vuelometria.llm.line_frequency import LineLimits, clean_documents, line_quality
+from vuelometria.llm.sql import LINE_FREQUENCY
 
 LIMITS = LineLimits(min_documents=3, min_share=0.0)
 
@@ -64,3 +68,13 @@ def test_long_lines_count_too(spark):
     assert not got[10].kept and all(got[i].kept for i in (*range(6), 11))
     cleaned = {r.doc_id: r.text for r in clean_documents(docs, limits=LIMITS).collect()}
     assert cleaned == {**{i: text(i) for i in range(6)}, 11: rows[7][1]}
+
+
+def test_long_shared_lines_agree_with_sql(spark, tmp_path):
+    notice = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{notice}\n{text(i)}", "host") for i in range(40)]
+    docs_frame(spark, rows).select("doc_id", "text", "source").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = line_quality(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    assert differences(result, con, LINE_FREQUENCY) == [] and {r.removed_words for r in result.collect()} == {60}

@@ -30,14 +30,14 @@ dup as (select rid, count(*) - count(distinct line) as n_dup_lines from lines gr
 hosts as (select source, count(distinct text) as host_documents from documents group by source),
 often as (
     select l.source, norm from (
-        select source, norm, count(distinct text) as documents from lines where length(line) <= 200 group by source, norm
+        select source, norm, count(distinct text) as documents from lines group by source, norm
     ) l join hosts h on l.source is not distinct from h.source
     where documents > 20 and documents > host_documents * 0.005
 ),
 removed as (
     select rid, sum(n)::bigint as removed_words
     from lines l join often o on l.source is not distinct from o.source and l.norm = o.norm
-    where length(line) <= 200 group by rid
+    group by rid
 ),
 base as (
     select doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
