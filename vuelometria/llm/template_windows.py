@@ -40,6 +40,9 @@ UNITS = (
     "kwh volts amps degrees celsius kelvin mph kmh people students items"
 ).split()
 
+#: tokens whose windows are hashed together
+AT_A_TIME = 250_000
+
 # Markers put before the value of a slot, and the sign inside of a number.
 NAME, NUMBER, UNIT, INSIDE = "\u0001", "\u0002", "\u0003", "\u0004"
 
@@ -130,8 +133,7 @@ def _windows_udf(p: Templates, short: tuple[int, ...], known: np.ndarray | None,
     if known is not None:
         first[known.view(np.uint64) >> np.uint64(48)] = True
 
-    @F.arrow_udf("array<struct<pos:int,hash:bigint,n_slots:int,exact:boolean,length:int>>")
-    def found(arrays: pa.Array) -> pa.Array:
+    def of(arrays: pa.Array) -> pa.Array:
         codes = arrays.flatten().to_numpy(zero_copy_only=False)
         sizes = np.diff(arrays.offsets.to_numpy(zero_copy_only=False))
         stops = np.cumsum(sizes, dtype=np.int64)
@@ -154,6 +156,13 @@ def _windows_udf(p: Templates, short: tuple[int, ...], known: np.ndarray | None,
         ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(arrays)))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, ["pos", "hash", "n_slots", "exact", "length"]))
 
+    @F.arrow_udf("array<struct<pos:int,hash:bigint,n_slots:int,exact:boolean,length:int>>")
+    def found(arrays: pa.Array) -> pa.Array:
+        # some texts at a time, as each token takes several numbers here
+        ends = arrays.offsets.to_numpy(zero_copy_only=False)
+        starts = np.unique(np.searchsorted(ends, np.arange(ends[0], ends[-1] + 1, AT_A_TIME))).tolist() or [0]
+        return pa.concat_arrays([of(arrays.slice(a, b - a)) for a, b in zip([0, *starts[1:]], [*starts[1:], len(arrays)])])
+
     return found
 
 
