@@ -250,7 +250,7 @@ def test_daily_job_recomputes_changed_dates_only(spark, tmp_path, monkeypatch):
     cities = spark.createDataFrame([("BOG", "Medellin")], "airport_iata string, ciudad string")
 
     def curated(name):
-        return spark.read.parquet(f"{where[2]}/{name}")
+        return daily_run.curated_table(spark, where[2], name)
 
     put(tmp_path, "flights", "f1.json", {"data": [FLIGHT, flight(flight_status="cancelled")]})
     put(tmp_path, "weather", "w1.json", WEATHER)
@@ -307,7 +307,7 @@ def test_every_visual_runs_on_what_the_daily_job_wrote(spark, tmp_path):
     first = run_daily(spark, *where, cities=cities, cases=cases)
     put(tmp_path, "delays", "delays_2026-04-02_17-00-00.json", [{**INCIDENT, "id": 9}])
     run_daily(spark, *where, since=first.started_at, cities=cities, cases=cases)
-    read = {n: spark.read.parquet(f"{where[2]}/{n}") for n in
+    read = {n: daily_run.curated_table(spark, where[2], n) for n in
             ("fct_vuelos", "fct_incidentes", "fct_clima_diario", "dim_fecha", "dim_aeropuerto")}
     assert read["fct_incidentes"].count() == 3
     facts = {n: df for n, df in read.items() if n.startswith("fct")}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_n
 from ..operators.bitmaps import codes_of, daily_state, distinct_over, new_codes
+from ..operators.frequent import frequent_state, mode_over
 from ..operators.moments import correlations, merged_moments, moment_state, sigma
 from ..operators.prefix import prefix_sums
 from ..plans.daily import FLIGHT_CODES
@@ -94,3 +95,16 @@ register(
          sum(departure_delay_min) over (order by flight_date, flight_number, departure_delay_min rows unbounded preceding)::bigint as minutos_acum
        from stg_flights""",
 )
+
+
+def _modes(t, keys, value, records):
+    state = materialize(frequent_state(records, [*keys, "weather_date"], value), scratch_dir(t.spark, "frequent"))
+    return mode_over(state, records.select(*keys, value), keys, value)
+
+
+register(
+    "d13_mode_by_city",
+    lambda t: _modes(t, ["city"], "condition", t.stg_weather),
+    """select city, first(condition order by n desc, condition) as condition, max(n) as frecuencia
+       from (select city, condition, count(*) as n from stg_weather where condition is not null group by 1, 2) group by 1""",
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..operators.bitmaps import Codes, codes_of, new_codes
 from ..session import scratch_dir
+from ..sources.releases import Release, publish, published
 from ..sources.schemas import PARTITION, PROCESSED
 from ..sources.tables import balanced, materialize, read_processed, write_partitioned
-from ..streaming.ingest import FEEDS, FeedError, FeedPaths, FeedReport, run_feeds
+from ..streaming.ingest import FEEDS, Expectation, FeedError, FeedPaths, FeedReport, judged, run_feeds
 from . import daily, facts, marts, rollups, staging
 
 #: File times and the clock of the driver may differ by this much.
@@ -91,6 +92,13 @@ def dictionary(values: DataFrame, path: str) -> Codes:
     return codes_of(spark.read.schema(schema).parquet(path))
 
 
+def curated_table(spark: SparkSession, curated: str, name: str, release: Release | None = None) -> DataFrame:
+    """A table that the daily job wrote: dimensions of the current or the given release, others as they are."""
+    if name.startswith("dim_"):
+        return published(spark, curated, name, release)
+    return spark.read.parquet(f"{curated}/{name}")
+
+
 def run_models(
     spark: SparkSession,
     processed: str,
@@ -105,6 +113,8 @@ def run_models(
     With ``cities`` (airport_iata, ciudad) the per-flight fact of the dashboard is kept as well, and airports get their
     city. With ``cases`` (incident_id and what the feed does not hold: airline_name, motivo, minutos_retraso_asociado,
     satisfaccion_cliente, tiempo_resolucion_horas) the incident fact is kept.
+
+    Dimensions are published as a set, see ``sources.releases``; ``curated_table`` reads them and the facts by name.
     """
     tables: dict[str, DataFrame] = {}
     changed: dict[str, list[date] | None] = {}
@@ -132,19 +142,20 @@ def run_models(
     measured = keep("rollup_clima", rollups.daily_weather_rollup(stg_w), "weather")
     incidents_daily = keep("int_delays_daily", daily.int_delays_daily(stg_d), "delays")
 
-    def table(name: str, df: DataFrame) -> DataFrame:
-        return materialize(df, f"{curated}/{name}")
-
     new_weather = only(measured, "weather_date", changed["weather"])
     weather_daily = keep("int_weather_daily", daily.weather_daily_from_rollup(new_weather), "weather")
     clima = replace_dates(
         facts.clima_diario_from_rollup(new_weather), f"{curated}/fct_clima_diario", "fecha", changed["weather"]
     )
-    table("dim_fecha", marts.dim_fecha(flights_daily, weather_daily, incidents_daily))
-    table("dim_aerolinea", marts.dim_aerolinea_from_rollup(airlines))
     airports = marts.dim_aeropuerto_from_rollup(routes)
-    table("dim_aeropuerto", airports if cities is None else facts.airport_city(airports, cities))
-    table("dim_condicion_clima", marts.dim_condicion_clima_from_rollup(measured))
+    dims = {
+        "dim_fecha": marts.dim_fecha(flights_daily, weather_daily, incidents_daily),
+        "dim_aerolinea": marts.dim_aerolinea_from_rollup(airlines),
+        "dim_aeropuerto": airports if cities is None else facts.airport_city(airports, cities),
+        "dim_condicion_clima": marts.dim_condicion_clima_from_rollup(measured),
+    }
+    # dimensions are whole tables that belong together, so they change at once
+    publish(spark, curated, dims)
     incidents_short = daily.incidents_from_daily(incidents_daily)
     lean = marts.fct_flights_lean(flights_daily, weather_daily, incidents_short, city)
     full = marts.fct_flights_full(flights_daily, weather_daily, incidents_daily, city)
@@ -181,10 +192,12 @@ def run_daily(
     cities: DataFrame | None = None,
     quarantine: str | None = None,
     cases: DataFrame | None = None,
+    expect: Mapping[str, Expectation] | None = None,
 ) -> RunReport:
     """Ingests all feeds and refreshes the models.
 
-    With ``quarantine`` documents that are no JSON go there, else they fail their feed.
+    With ``quarantine`` documents that are no JSON go there, else they fail their feed. With ``expect`` the counts of
+    the feeds are judged: a count outside of its bounds is a warning in the report, or an error after the rest is done.
 
     ``since`` is the ``started_at`` of the last successful run; without it everything is
     computed anew. Every step can be repeated. A broken feed is raised after the rest is done.
@@ -196,6 +209,9 @@ def run_daily(
         report.feeds = run_feeds(spark, paths, as_of)
     except FeedError as exc:
         failure, report.feeds = exc, exc.reports
+    report.feeds = judged(report.feeds, expect or {})
+    if any(r.error for r in report.feeds):
+        failure = FeedError(report.feeds)
     report.changed = run_models(spark, processed, curated, since, city, cities, cases)
     if failure is not None:
         raise failure

@@ -12,6 +12,9 @@ from .schemas import CORRUPT, RAW
 #: Column with the file of a document, where it was taken from the file metadata already.
 FILE = "file_path"
 
+#: Column of flattened rows with the file they came from, where ``FILE`` was there. It is in no schema of a table.
+ORIGIN = "_file"
+
 #: A pull is a file, or a directory with its files, named <feed>_YYYY-MM-DD_HH-MM-SS.
 PULL_DATE = r"_(\d{4}-\d{2}-\d{2})_\d{2}-\d{2}-\d{2}[^/]*(?:/[^/]*)?$"
 
@@ -73,7 +76,11 @@ def read_delays_raw(spark: SparkSession, path: str, broken: str = "fail") -> Dat
 
 def explode_data(df: DataFrame) -> DataFrame:
     """One row per element of ``data`` as struct ``f``; empty and missing arrays give no row."""
-    return df.select(F.explode("data").alias("f"))
+    return df.select(F.explode("data").alias("f"), *([FILE] if FILE in df.columns else []))
+
+
+def _origin(raw: DataFrame) -> list[Column]:
+    return [F.col(FILE).alias(ORIGIN)] if FILE in raw.columns else []
 
 
 def with_ingested_at(df: DataFrame, ts: datetime | str | None = None) -> DataFrame:
@@ -106,6 +113,7 @@ def flatten_flights(raw: DataFrame, ts: datetime | str | None = None) -> DataFra
         F.col("f.airline.name").alias("airline_name"),
         F.col("f.airline.iata").alias("airline_iata"),
         F.col("f.flight.number").alias("flight_number"),
+        *_origin(raw),
     )
     return with_ingested_at(flat, ts)
 
@@ -128,6 +136,7 @@ def flatten_weather(raw: DataFrame, ts: datetime | str | None = None) -> DataFra
         *[_int(f"current.{source}").alias(name) for name, source in whole_numbers.items()],
         # the hour may have one digit, so only the date part is looked at
         F.col("location.localtime").try_cast("date").alias("weather_date"),
+        *_origin(raw),
     )
     return with_ingested_at(flat, ts)
 
@@ -146,6 +155,7 @@ def flatten_delays(raw: DataFrame, as_of: date | str | None = None, ts: datetime
         F.col("title").alias("incident_title"),
         F.col("completed").alias("is_resolved"),
         F.coalesce(pulled, today).alias("report_date"),
+        *_origin(raw),
     )
     return with_ingested_at(flat, ts)
 
