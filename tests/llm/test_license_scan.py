@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 from tests.llm.helpers import docs_frame
@@ -61,3 +62,57 @@ def test_best_run_is_exact():
         found = Finder((("x", " ".join(notice)),), 0.8).found(" ".join(text))
         assert found == ({"x": best} if best >= 0.8 else {}), (notice, text)
     assert all(re.search(r"[^\W_]+ ", text) for _, text in full_notices())
+
+
+def test_one_run_is_one_license():
+    finder = Finder(full_notices(), 0.8)
+    own = [(name, text) for name, text in full_notices() if len(text.split()) > 8]
+    for name, text in own:
+        assert set(finder.found(text)) - {"All-Rights-Reserved"} == {name}, name
+    by_name = dict(full_notices()[len(NOTICES) :])
+    both = f"{by_name['LGPL-2.0']}\n\nsome words between them\n\n{by_name['GPL-2.0']}\n\n{by_name['LGPL-2.0']}"
+    assert set(finder.found(both)) == {"GPL-2.0", "LGPL-2.0"}
+    # the own run of a license counts, also if it fits a better run elsewhere
+    short = [t for n, t in NOTICES if n in ("GPL-2.0", "GPL-3.0")]
+    assert set(finder.found(f"{short[0]} and then {short[1].replace('work', 'thing')}")) == {"GPL-2.0", "GPL-3.0"}
+
+
+def test_identifier_lines(spark):
+    texts = {
+        1: "# SPDX-License-Identifier: Apache-2.0\nimport x", 2: "/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */",
+        3: "// SPDX-License-Identifier: MPL-2.0 and so on", 4: "SPDX-License-Identifier:", 5: "// SPDX-License-Identifier: LGPL-2.1+\n" + "Released under the MIT License.",
+    }
+    rows = scan_licenses(docs_frame(spark, [(i, t, "a") for i, t in texts.items()]), notices=full_notices(), anywhere=True).collect()
+    assert {r.doc_id: (r.license, r.n_licenses) for r in rows} == {
+        1: ("Apache-2.0", 1), 2: ("BSD", 2), 3: ("MPL-2.0", 1), 4: (None, 0), 5: ("LGPL-2.1", 2),
+    }
+
+
+def plain_runs(notice, text, limit):
+    want, out = Counter(zip(notice, notice[1:])), []
+    for i in range(len(text)):
+        for j in range(i + 2, len(text) + 1):
+            bag = Counter(zip(text[i:j], text[i + 1 : j]))
+            dice = 2 * sum((bag & want).values()) / (sum(bag.values()) + sum(want.values()))
+            if dice >= limit:
+                out.append((dice, i, j - 2))
+    return out
+
+
+def test_blocks_of_starts_lose_nothing():
+    r = random.Random(8)
+    for _ in range(25):  # notices long enough for blocks of several starts
+        notice = [r.choice("abcdefgh") for _ in range(r.randint(70, 100))]
+        near = [x if r.random() < 0.95 else r.choice("abcdefghz") for x in notice]
+        text = [r.choice("abz") for _ in range(r.randint(0, 20))] + near + [r.choice("abz") for _ in range(r.randint(0, 20))]
+        best = max((d for d, _, _ in plain_runs(notice, text, 0.8)), default=None)
+        assert Finder((("x", " ".join(notice)),), 0.8).found(" ".join(text)) == ({"x": best} if best else {})
+
+
+def test_a_long_text_of_many_near_copies_is_quick():
+    r, gpl = random.Random(3), dict(full_notices())["GPL-3.0"].split()
+    text = " ".join(x if r.random() < 0.975 else "changed" for _ in range(40) for x in gpl)
+    finder = Finder(full_notices(), 0.8)
+    began = time.process_time()
+    assert set(finder.found(text)) == {"GPL-3.0"}
+    assert time.process_time() - began < 20

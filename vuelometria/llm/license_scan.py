@@ -10,7 +10,8 @@ Texts never travel: a passage that matches is a row with the key of its document
 
 ``anywhere=True`` looks at every run of words of a text instead, whatever its lines, so a notice inside of a line or of running
 prose is found as well: the best Dice of all runs, exactly. A best run starts and ends with a bigram of the notice, so only
-the places of such bigrams are looked at, and only where enough of them lie close to each other to reach the limit. That is
+the places of such bigrams are looked at, and only where enough of them lie close to each other to reach the limit. Notices that
+differ by a name or a number fit the same run, so a run counts for the license that fits it best. SPDX identifiers count as well. That is
 an Arrow UDF over each row by itself; the notices go with it, and nothing is shuffled. It is used with ``full_notices()``, the
 short notices with the license texts and file headers of ``licenses/``.
 
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from heapq import heapify, heappop, heappush
 from pathlib import Path
 
 import numpy as np
@@ -53,6 +56,8 @@ NOTICES = (
 
 _WORD = r"[\p{L}\p{N}]+"
 _PYTHON_WORD = re.compile(r"[^\W_]+")
+#: An identifier line: names joined by AND, OR and WITH, up to what cannot belong to it.
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*((?:\([ \t]*)*[A-Za-z0-9.+-]+(?:[ \t)]+(?:AND|OR|WITH)[ \t(]+[A-Za-z0-9.+-]+)*)")
 _FOUND = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64())]))
 
 
@@ -148,7 +153,7 @@ class Finder:
         return ids[:-1] * self.base + ids[1:], (ids[:-1] > 0) & (ids[1:] > 0)
 
     def found(self, text: str | None) -> dict[str, float]:
-        """license -> best Dice, of those that reach the limit."""
+        """license -> best Dice, of those that reach the limit with a run that fits no other license better."""
         if not text or not len(self.grams):
             return {}
         words = _PYTHON_WORD.findall(text.lower())
@@ -163,22 +168,72 @@ class Finder:
         if len(places) < self.least.min():
             return {}
         totals = self.held[index].sum(axis=0)
-        best: dict[str, float] = {}
-        for i in np.flatnonzero(totals >= self.least):
-            own = self.held[index, i]
-            dice = self._best(places[own], index[own], i)
-            if dice >= self.limit:
-                best[self.names[i]] = max(dice, best.get(self.names[i], 0.0))
-        return best
-
-    def _best(self, places: np.ndarray, grams: np.ndarray, i: int) -> float:
+        best, own = {}, {}
+        for i in np.flatnonzero(totals >= self.least).tolist():
+            mask = self.held[index, i]
+            run = self._best(places[mask], index[mask], i)
+            if run:
+                best[i], own[i] = run, (places[mask], index[mask])
+        if len({self.names[i] for i in best}) > 1:
+            runs = {i: self._runs(*own[i], i, best[i]) for i in best}
+            best = {i: run for i in best if (run := self._unbeaten(i, runs))}
+        out: dict[str, float] = {}
+        for i, run in best.items():
+            out[self.names[i]] = max(run[0], out.get(self.names[i], 0.0))
+        return out
+
+    def _unbeaten(self, i: int, runs: dict[int, list[tuple[float, int, int]]]) -> tuple[float, int, int] | None:
+        """The best run of a notice that no notice of another license fits better. Ties go to the longer notice, then by name.
+
+        A run is beaten by one that covers more than half of it, which therefore holds its middle.
+        """
+        rivals = [(j, [r[1] for r in runs[j]]) for j in runs if self.names[j] != self.names[i]]
+        for dice, first, last in sorted(runs[i], key=lambda r: (-r[0], r[1])):
+            for j, firsts in rivals:
+                k = bisect_right(firsts, (first + last + 1) // 2) - 1
+                if k < 0:
+                    continue
+                other, a, b = runs[j][k]
+                covered = min(b, last) - max(a, first) + 1
+                mine, theirs = (-dice, -self.sizes[i], self.names[i]), (-other, -self.sizes[j], self.names[j])
+                if 2 * covered > last - first + 1 and theirs < mine:
+                    break
+            else:
+                return dice, first, last
+        return None
+
+    def _runs(self, places: np.ndarray, grams: np.ndarray, i: int, best: tuple[float, int, int]) -> list[tuple[float, int, int]]:
+        """Runs of a notice that reach the limit and do not overlap, in order: the best one, and those left and right of it."""
+        reach = math.floor(self.sizes[i] * (2 - self.limit) / self.limit + 1e-9)
+        out = [best]
+        parts = [(0, int(np.searchsorted(places, best[1]))), (int(np.searchsorted(places, best[2], "right")), len(places))]
+        while parts:
+            a, b = parts.pop()
+            if b - a < self.least[i]:
+                continue
+            # runs that start within one reach of the first place end within two
+            until = places[a] + reach
+            c = min(b, int(np.searchsorted(places, until + reach)))
+            run = self._best(places[a:c], grams[a:c], i, until)
+            if run is None:
+                parts.append((int(np.searchsorted(places, until, "right")), b))
+                continue
+            out.append(run)
+            parts.append((int(np.searchsorted(places, run[2], "right")), b))
+            parts.append((a, int(np.searchsorted(places, run[1]))))
+        return sorted(out, key=lambda r: r[1])
+
+    def _best(self, places: np.ndarray, grams: np.ndarray, i: int, until: int | None = None) -> tuple[float, int, int] | None:
+        """(dice, first bigram, last bigram) of the best run, if it reaches the limit; of those that start up to ``until``."""
         size, least = self.sizes[i], int(self.least[i])
         longest = math.floor(size * (2 - self.limit) / self.limit + 1e-9)
         if len(places) < least:
-            return 0.0
+            return None
         starts = np.flatnonzero(places[least - 1 :] - places[: len(places) - least + 1] < longest)
+        if until is not None:
+            starts = starts[places[starts] <= until]
         if not len(starts):
-            return 0.0
+            return None
         # a bigram counts in runs that start after the place where the notice would have one less of it
         order = np.argsort(grams, kind="stable")
         ordered, earlier = grams[order], np.arange(len(order)) - self.counts[grams[order], i]
@@ -186,13 +241,48 @@ class Finder:
         after = np.full(len(order), -1, np.int64)
         after[order[same]] = places[order[earlier[same]]]
         ends = np.searchsorted(places, places[starts] + longest)
-        best = 0.0
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            common = np.cumsum(after[a:b] < places[a])
-            best = max(best, float((2 * common / (places[a:b] - places[a] + 1 + size)).max()))
-            if best == 1.0:
+
+        best = (0.0, 0, 0)
+
+        def of_start(f: int, l: int) -> float:
+            """The best Dice of a start, over the ends of all starts up to ``l``: runs beyond its own ends miss the limit."""
+            nonlocal best
+            a, b = starts[f], ends[l - 1]
+            dice = 2 * np.cumsum(after[a:b] < places[a]) / (places[a:b] - places[a] + 1 + size)
+            k = int(dice.argmax())
+            if dice[k] > best[0]:
+                best = (float(dice[k]), int(places[a]), int(places[a + k]))
+            return float(dice[k])
+
+        def bounded(dice: float, f: int, l: int) -> tuple[float, int, int, float]:
+            # A run that starts g places later shares no more with the notice and is shorter by g, so its Dice is higher by a
+            # factor of 1 + g / (its length + size) at most. That bounds all starts that lie close together by the first.
+            return -dice * (1 + (places[starts[l - 1]] - places[starts[f]]) / (size + least)), f, l, dice
+
+        block = (places[starts] - places[starts[0]]) // max(1, size // 32)
+        edges = [*np.flatnonzero(np.r_[True, block[1:] != block[:-1]]).tolist(), len(starts)]
+        heap = [bounded(of_start(f, l), f, l) for f, l in zip(edges, edges[1:])]
+        heapify(heap)
+        while heap:
+            bound, f, l, dice = heappop(heap)
+            if 1e-9 - bound < max(best[0], self.limit) or best[0] == 1.0:
                 break
-        return best
+            if l - f > 1:
+                half = (f + l) // 2
+                heappush(heap, bounded(dice, f, half))
+                heappush(heap, bounded(of_start(half, l), half, l))
+        return best if best[0] >= self.limit else None
+
+
+def identified(text: str | None) -> set[str]:
+    """The licenses of SPDX lines, under the names of ``NOTICES``: without ``-only``, ``-or-later`` and ``+``, BSD as one."""
+    names = set()
+    for line in _SPDX.findall(text or ""):
+        for name in re.sub(r"\bWITH\s+\S+", "", line).replace("(", " ").replace(")", " ").split():
+            if name not in ("AND", "OR"):
+                base = re.sub(r"(-only|-or-later|\+)$", "", name)
+                names.add("BSD" if re.match(r"(?:0?BSD|BSD-\d-Clause\b.*)$", base) else base)
+    return names
 
 
 def scan_licenses(
@@ -206,7 +296,8 @@ def scan_licenses(
 
         @F.arrow_udf("array<struct<license:string,dice:double>>")
         def all_found(texts: pa.Array) -> pa.Array:
-            rows = (finder.found(x.as_py()) for x in texts)
+            # an identifier is exact, whatever a notice of the same license reaches
+            rows = (finder.found(x) | dict.fromkeys(identified(x), 1.0) for x in (t.as_py() for t in texts))
             return pa.array([[{"license": k, "dice": v} for k, v in r.items()] for r in rows], type=_FOUND)
 
         less = F.array_min(F.transform("found", lambda x: F.struct((-x.dice).alias("less"), x.license.alias("license"))))
