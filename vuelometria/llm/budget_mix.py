@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, whole_row, word_count
+from .common import numbered, stored, word_count
 
 RANGES = 1024
 
@@ -178,6 +178,13 @@ def mixture(docs: DataFrame, text: str = "text", source: str = "source", id_col:
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", mix: Mix = Mix()) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
-    taken = mixed(docs, whole_row(docs), text, source, id_col, mix).where("times > 0")
+    """The documents of the mix, each as often as it is taken, with the columns of ``docs``.
+
+    What is taken is decided on row numbers; the rows themselves are only joined to them.
+    """
+    kept = numbered(docs, "rows")
+    doc = kept["doc"]
+    narrow = kept.select("row", doc[id_col].alias("id"), doc[text].alias("text"), doc[source].alias("source"))
+    times = mixed(narrow, narrow["row"], "text", "source", "id", mix).where("times > 0")
+    taken = kept.join(times.select(F.col("doc").alias("row"), "times"), "row")
     return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("doc.*")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, whole_row
+from .common import numbered, stored
 
 RANGES = 1024
 
@@ -86,5 +86,12 @@ def interleaved(
 def sharded_documents(
     docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", shards: int = 16, seed: int = 29
 ) -> DataFrame:
-    """The columns of ``docs`` as struct ``doc``, with shard and slot; other names cannot clash with those of ``docs``."""
-    return _placed(docs, whole_row(docs), text, source, id_col, shards, seed).select("doc", "shard", "slot")
+    """The columns of ``docs`` as struct ``doc``, with shard and slot; other names cannot clash with those of ``docs``.
+
+    Places are found on row numbers; the rows themselves are only joined to them.
+    """
+    kept = numbered(docs, "rows")
+    doc = kept["doc"]
+    narrow = kept.select("row", doc[id_col].alias("id"), doc[text].alias("text"), doc[source].alias("source"))
+    placed = _placed(narrow, narrow["row"], "text", "source", "id", shards, seed)
+    return kept.join(placed.select(F.col("doc").alias("row"), "shard", "slot"), "row").select("doc", "shard", "slot")
