@@ -9,6 +9,7 @@ from ..operators.bitmaps import codes_of, daily_state, distinct_over, new_codes
 from ..operators.frequent import frequent_state, mode_over
 from ..operators.moments import correlations, merged_moments, moment_state, sigma
 from ..operators.prefix import prefix_sums
+from ..plans import history, marts, rollups
 from ..plans.daily import FLIGHT_CODES
 from ..session import scratch_dir
 from ..sources.tables import materialize
@@ -108,3 +109,34 @@ register(
     """select city, first(condition order by n desc, condition) as condition, max(n) as frecuencia
        from (select city, condition, count(*) as n from stg_weather where condition is not null group by 1, 2) group by 1""",
 )
+
+
+def _in_two_runs(t, days, column, state):
+    """The years of a rollup, built without its last 100 dates and then refreshed by them."""
+    days, root = materialize(days, scratch_dir(t.spark, "days")), scratch_dir(t.spark, "history")
+    last = [r[0] for r in days.select(column).distinct().orderBy(F.desc(column)).limit(100).collect()]
+    history.by_year(days.where(~F.col(column).isin(last)), column, state, root, None)
+    return history.by_year(days, column, state, root, last)
+
+
+register(
+    "h8_history",
+    lambda t: marts.dim_aerolinea_from_rollup(
+        _in_two_runs(t, rollups.airline_rollup(t.stg_flights), "flight_date", history.AIRLINES)
+    ),
+    "select * from dim_aerolinea",
+)
+register(
+    "h9_history",
+    lambda t: marts.dim_aeropuerto_from_rollup(
+        _in_two_runs(t, rollups.route_rollup(t.stg_flights), "flight_date", history.ROUTES)
+    ),
+    "select * from dim_aeropuerto",
+)
+register(
+    "h10_history",
+    lambda t: marts.dim_condicion_clima_from_rollup(
+        _in_two_runs(t, rollups.daily_weather_rollup(t.stg_weather), "weather_date", history.CONDITIONS)
+    ),
+    "select * from dim_condicion_clima",
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -14,9 +14,9 @@ from ..operators.bitmaps import Codes, codes_of, new_codes
 from ..session import scratch_dir
 from ..sources.releases import Release, publish, published
 from ..sources.schemas import PARTITION, PROCESSED
-from ..sources.tables import balanced, materialize, read_processed, write_partitioned
+from ..sources.tables import materialize, only, read_processed, replace_dates, write_partitioned
 from ..streaming.ingest import FEEDS, Expectation, FeedError, FeedPaths, FeedReport, judged, run_feeds
-from . import daily, facts, marts, rollups, staging
+from . import daily, facts, history, marts, rollups, staging
 
 #: File times and the clock of the driver may differ by this much.
 CLOCK_SLACK = timedelta(hours=1)
@@ -52,31 +52,6 @@ def changed_dates(table: DataFrame, column: str, since: datetime | None) -> list
     return [row[0] for row in fresh.select(column).distinct().collect() if row[0] is not None]
 
 
-def only(df: DataFrame, column: str, dates: Sequence[date] | None) -> DataFrame:
-    """Partition filter on the given dates."""
-    return df if dates is None else df.where(F.col(column).isin(list(dates)))
-
-
-def replace_dates(fresh: DataFrame, path: str, column: str, dates: Sequence[date] | None) -> DataFrame:
-    """Puts the rows of ``dates`` into a daily table, which has one partition per date.
-
-    Whole partitions are written from the records alone, never from the table itself, so a run
-    that died half-way is put right by the next one.
-    """
-    spark = fresh.sparkSession
-    if dates is None:
-        (
-            balanced(fresh, column)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(column)
-            .parquet(path)
-        )
-    elif dates:
-        write_partitioned(fresh, path, column, mode="overwrite")
-    return spark.read.schema(fresh.schema).parquet(path)
-
-
 def dictionary(values: DataFrame, path: str) -> Codes:
     """The dictionary at ``path``, with codes for new values appended."""
     spark, schema = values.sparkSession, "value string, code bigint"
@@ -147,12 +122,16 @@ def run_models(
     clima = replace_dates(
         facts.clima_diario_from_rollup(new_weather), f"{curated}/fct_clima_diario", "fecha", changed["weather"]
     )
-    airports = marts.dim_aeropuerto_from_rollup(routes)
+
+    def years(name: str, days: DataFrame, state: history.Additive, feed: str) -> DataFrame:
+        return history.by_year(days, PARTITION[feed], state, f"{curated}/{name}", changed[feed])
+
+    airports = marts.dim_aeropuerto_from_rollup(years("rollup_ruta", routes, history.ROUTES, "flights"))
     dims = {
         "dim_fecha": marts.dim_fecha(flights_daily, weather_daily, incidents_daily),
-        "dim_aerolinea": marts.dim_aerolinea_from_rollup(airlines),
+        "dim_aerolinea": marts.dim_aerolinea_from_rollup(years("rollup_aerolinea", airlines, history.AIRLINES, "flights")),
         "dim_aeropuerto": airports if cities is None else facts.airport_city(airports, cities),
-        "dim_condicion_clima": marts.dim_condicion_clima_from_rollup(measured),
+        "dim_condicion_clima": marts.dim_condicion_clima_from_rollup(years("rollup_clima", measured, history.CONDITIONS, "weather")),
     }
     # dimensions are whole tables that belong together, so they change at once
     publish(spark, curated, dims)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,31 @@ def write_partitioned(
     )
 
 
+def only(df: DataFrame, column: str, dates: Sequence[date | int] | None) -> DataFrame:
+    """Partition filter on the given dates, or what stands for them."""
+    return df if dates is None else df.where(F.col(column).isin(list(dates)))
+
+
+def replace_dates(fresh: DataFrame, path: str, column: str, dates: Sequence[date | int] | None) -> DataFrame:
+    """Puts the rows of ``dates`` into a daily table, which has one partition per date.
+
+    Whole partitions are written from the records alone, never from the table itself, so a run
+    that died half-way is put right by the next one.
+    """
+    spark = fresh.sparkSession
+    if dates is None:
+        (
+            balanced(fresh, column)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(column)
+            .parquet(path)
+        )
+    elif dates:
+        write_partitioned(fresh, path, column, mode="overwrite")
+    return spark.read.schema(fresh.schema).parquet(path)
+
+
 def read_processed(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Processed table with its fixed schema; partitions are found by file discovery."""
     return spark.read.schema(PROCESSED[name]).parquet(path)
