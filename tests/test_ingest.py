@@ -192,6 +192,54 @@ def test_ids_of_64_bits(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(2**40, 2**60), (7, 8), (None, None)]
 
 
+ODD = {
+    "numbers as text": '[{"userId": 12.50, "id": 1e3, "title": 7}, {"id": 9007199254740993.0, "title": {"a" : [1.0,  2]}}, {"title": true}]',
+    "pretty": '[\r\n  {\n "id": "a",\n\n "title": "x\\ny"}\n, {"completed": "no"}]\n\n',
+    "one object": '{"id": 1, "title": "t", "other": [1]}',
+    "two values": '[{"id": 1}] [{"id": 2}]',
+    "byte order mark": "\ufeff" + '[{"title": "m\u00e1s"}]',
+    "blank": " \n\n ",
+    "empty array": "[]",
+    "torn at the end": '[{"id": 1},\n {"id": 2',
+    "no JSON": "a\nb\n",
+    "wrong kind": '[{"id": [1, 2], "title": null, "completed": 3}, {"id": 2, "completed": true}]',
+}
+
+
+def test_documents_read_whole_are_those_of_the_multi_line_reader(spark, tmp_path):
+    for name, text in ODD.items():
+        put(tmp_path, "delays", f"{name}.json", text)
+    path = str(tmp_path / "raw/delays")
+    plain = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": raw.CORRUPT}
+
+    def rows(options):
+        documents = spark.read.schema(raw.RAW["delays"]).options(**options).json(path)
+        return sorted(repr(tuple(r)) for r in documents.withColumn("file", F.col("_metadata.file_name")).collect())
+
+    # split files as well: a document stays with the task that has its start
+    expected = rows(plain)
+    assert rows(raw.RAW_OPTIONS) == expected and len(expected) > 10
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        assert rows(raw.RAW_OPTIONS) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_document_is_read_once(spark, tmp_path):
+    put(tmp_path, "delays", "d.json", [{"userId": i, "id": i, "title": "t"} for i in range(5000)])
+    size = (tmp_path / "raw/delays/d.json").stat().st_size
+
+    def taken():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+
+    documents = raw.flatten_delays(raw.read_delays_raw(spark, str(tmp_path / "raw/delays")))
+    before = taken()
+    assert documents.agg(F.sum("incident_id")).first()[0] == sum(range(5000))
+    assert taken() - before < 3 * size
+
+
 def paths_of(tmp_path, feed):
     return FeedPaths.below(feed, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"))
 
