@@ -240,6 +240,21 @@ def test_a_document_is_read_once(spark, tmp_path):
     assert taken() - before < 3 * size
 
 
+def test_pulls_that_share_dates_become_a_file_per_date(spark, folder):
+    from vuelometria.checks import QUERIES
+
+    small = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20", "spark.sql.files.maxPartitionBytes": "8KB"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        table = QUERIES["h13_etl_flights"](spark, folder)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(table.inputFiles()) == table.select("flight_date").distinct().count()
+
+
 def paths_of(tmp_path, feed):
     return FeedPaths.below(feed, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"))
 
