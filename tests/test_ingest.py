@@ -255,6 +255,16 @@ def test_pulls_that_share_dates_become_a_file_per_date(spark, folder):
     assert len(table.inputFiles()) == table.select("flight_date").distinct().count()
 
 
+def test_landed_pulls_are_small_beside_their_text(spark, folder, tmp_path):
+    from vuelometria.checks.feeds import land_feed
+    from vuelometria.plans.binding import BoundTables
+
+    path = land_feed(BoundTables(spark, folder), "flights", str(tmp_path / "flights"))
+    pulls = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    text = pulls.agg(F.sum(F.length("value"))).first()[0]
+    assert sum(f.stat().st_size for f in (tmp_path / "flights").rglob("part-*")) < text / 3
+
+
 def paths_of(tmp_path, feed):
     return FeedPaths.below(feed, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"))
 
