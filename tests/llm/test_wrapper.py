@@ -119,6 +119,34 @@ def test_template_nodes_are_removed(spark):
         assert all(story.format(1) in got[400 + n] for n in range(5))
 
 
+def test_every_layout_of_a_host_has_a_wrapper(spark):
+    def names(k):
+        return [chr(97 + k // 26) + chr(97 + k % 26) + c for c in "abcdefg"]
+
+    usual = '<body><div class=masthead>The Paper</div><div class=page><div class=story><h1>Story {0}</h1><p>Words of story {0}.</p></div></div></body>'
+    # a short text where the usual layout has its article, the article in containers of its own
+    other = (
+        '<body><div class=masthead>The Paper</div><div class=page><div class=story>Ask the editors.</div><section class={1[0]}><div class={1[1]}>'
+        '<div class={1[2]}>{1[2]}</div><div class={1[3]}><center class={1[4]}></center><div class={1[5]}><h2>Feature {0}</h2>'
+        '<p>Words of feature {0} in layout {1[6]}, told at great length and with care.</p></div></div></div></section></div></body>'
+    )
+    rows = [(n, "http://one.org/", usual.format(n)) for n in range(60)]
+    rows += [(1000 + 10 * k + n, "http://one.org/", other.format(n, names(k))) for k in range(40) for n in range(8)]
+    alone = [(5000 + k, "http://one.org/", other.format(k, names(40 + k))) for k in range(3)]
+    pages = spark.createDataFrame(rows + alone, "page_id long, url string, html string")
+    for broadcast, sample in ((1000, 12), (0, 12), (1000, 1)):
+        got = {r.page_id: r.text for r in extract_articles(pages, broadcast_hosts=broadcast, sample=sample).collect()}
+        feature = "Feature {0}\nWords of feature {0} in layout {1}, told at great length and with care."
+        for n in range(60):
+            assert got[n].endswith(f"Story {n}\nWords of story {n}.")
+        for k in range(40):
+            for n in range(8):
+                assert got[1000 + 10 * k + n].endswith(feature.format(n, names(k)[6]))
+                assert sample == 1 or got[1000 + 10 * k + n] == feature.format(n, names(k)[6])
+        # a single page of its layout
+        assert all(got[5000 + k].endswith(feature.format(k, names(40 + k)[6])) for k in range(3))
+
+
 def test_layouts_and_constant_nodes():
     news = [parse(page(n)) for n in range(4)]
     shop = [parse(f"<body><table><tr><td>item number {n}</td><td>price</td></tr></table></body>") for n in range(3)]
